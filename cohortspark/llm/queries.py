@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, packing, quality_rules
 from .common import table
 
 
@@ -22,8 +22,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_mix_sources, op8_quality_rules)}
+    return {f.__name__: f for f in (op3_exact_dedup, op5_mix_sources, op8_quality_rules, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
