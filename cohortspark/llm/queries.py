@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality_rules
+from . import exact_dedup, mixing, ngram_join, packing, quality_rules
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_mix_sources, op8_quality_rules, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op3_exact_dedup, op5_mix_sources, op7_ngram_jaccard_join, op8_quality_rules, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

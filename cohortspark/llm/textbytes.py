@@ -75,7 +75,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         odd = 0x9E3779B97F4A7C15
         m = max(n, SLICE + 1)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(m - 1, r, np.uint64)]).astype(np.uint64)) for r in (odd, pow(odd, -1, 1 << 64))]
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(m - 1, r, np.uint64)])) for r in (odd, pow(odd, -1, 1 << 64))]
     return _powers[0], _powers[1]
 
 
