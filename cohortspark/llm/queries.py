@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality_rules
+from . import exact_dedup, language_id, mixing, ngram_join, packing, quality_model, quality_rules
 from .common import table
 
 
+def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -26,12 +30,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_mix_sources, op7_ngram_jaccard_join, op8_quality_rules, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_quality_trees, op3_exact_dedup, op5_mix_sources, op7_ngram_jaccard_join, op8_quality_rules, op9_language_id, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
