@@ -8,8 +8,9 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    prefixes (hash order) are sent to ranges of hash space as packed arrays, and a
    document goes on only if enough of its prefix occurs elsewhere. Survivors are marked
    in a Bloom filter of fixed size (false marks cost time, not results).
-2. Blocks. The survivors' prefixes, with very frequent shingles last in the order (their
-   number is bounded), join documents that share a prefix shingle. A connected group is
+2. Blocks. Among the survivors every shingle is counted exactly: a document needs enough
+   shingles that others have, and with the rarest first a prefix of those, often one or
+   two, must meet any partner's. Documents that share a prefix shingle form a group,
    searched whole; one of more than ``BLOCK`` documents is dealt into blocks, each with
    the same few pivots of the group.
 3. Search. In a block, each document queries the inverted lists of those before it: the
@@ -40,9 +41,8 @@ from .textbytes import shingle_sets, slices
 
 WIDTH = 5
 BLOCK = 64
-#: Bits of the survivors' filter, and the most shingles that count as very frequent.
+#: Bits of the survivors' filter.
 BLOOM_BITS = 26
-HOT_SHINGLES = 1 << 20
 FLUSH = 2_000_000
 N_BITS = 24
 POSTINGS = "bucket int, a binary, b binary"
@@ -129,14 +129,12 @@ def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _shared_counts(buckets: int):
-    """Postings of a range to (mark, number of its shingles that others have), and the range's very frequent shingles in bucket -1."""
+    """Postings of a range to (mark, number of its shingles that others have)."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, marks, starts, n = _runs(_flat(table.column("a"), U64), _flat(table.column("b"), U64))
-        hot = keys[starts[n > max(32, -(-len(keys) * buckets // HOT_SHINGLES))]]
+        _, marks, _, n = _runs(_flat(table.column("a"), U64), _flat(table.column("b"), U64))
         found, count = np.unique(marks[np.repeat(n > 1, n)], return_counts=True)
-        top = pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([hot.tobytes()], pa.binary()), pa.array([b""], pa.binary())], names=["bucket", "a", "b"])
-        return pa.Table.from_batches([top, _scatter(found, count.astype(np.int32), buckets)])
+        return pa.Table.from_batches([_scatter(found, count.astype(np.int32), buckets)])
 
     return run
 
@@ -176,22 +174,70 @@ def _nodes(bloom):
     return run
 
 
-def _rare_postings(hot, buckets: int):
-    """Nodes to postings (shingle, node) of their shortest sufficient prefix, very frequent shingles last."""
+OWNER = np.dtype([("node", "<i8"), ("n", "<i4")])
+COUNTED = np.dtype([("token", "<u8"), ("df", "<i4"), ("n", "<i4")])
+
+
+def _all_postings(buckets: int):
+    """Nodes to postings (shingle, node and size) of all their shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, U64) for x in batch.column(1).to_pylist()]
+            n = np.array([len(x) for x in sets], np.int32)
+            owner = np.empty(int(n.sum()), OWNER)
+            owner["node"], owner["n"] = np.repeat(batch.column(0).to_numpy(), n), np.repeat(n, n)
+            yield _scatter(np.concatenate([np.zeros(0, U64), *sets]), owner, buckets)
+
+    return run
+
+
+def _document_counts(buckets: int):
+    """Postings of a range to (node; shingle, nodes that have it, size) for the shingles of two nodes or more."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, owner = _flat(table.column("a"), U64), _flat(table.column("b"), OWNER)
+        order = np.lexsort((owner["node"], keys))
+        keys, owner = keys[order], owner[order]
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (owner["node"][1:] != owner["node"][:-1])]
+        keys, owner = keys[fresh], owner[fresh]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        df = np.diff(np.r_[starts, len(keys)])
+        df = np.repeat(df, df)
+        out = np.empty(int(np.count_nonzero(df > 1)), COUNTED)
+        out["token"], out["df"], out["n"] = keys[df > 1], df[df > 1], owner["n"][df > 1]
+        return pa.Table.from_batches([_scatter(owner["node"][df > 1].view(U64), out, buckets)])
+
+    return run
+
+
+def _shared_sets(table: pa.Table) -> pa.Table:
+    """Counted shingles of a range of nodes to (node, n, tokens, prefix), if a node has enough of them."""
+    nodes, counted = _flat(table.column("a"), np.int64), _flat(table.column("b"), COUNTED)
+    order = np.lexsort((counted["token"], nodes))
+    nodes, counted = nodes[order], counted[order]
+    starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]]) if len(nodes) else np.zeros(0, np.int64)
+    name, size, tokens, prefix = [], [], [], []
+    for s, e in zip(starts, np.r_[starts[1:], len(nodes)]):
+        n = int(counted["n"][s])
+        spare = e - s - least_overlap(n)
+        if spare >= 0:
+            own = counted["token"][s:e]
+            name.append(int(nodes[s]))
+            size.append(n)
+            tokens.append(own.tobytes())
+            prefix.append(own[np.lexsort((own, counted["df"][s:e]))[: spare + 1]].tobytes())
+    return pa.table({"node": pa.array(name, pa.int64()), "n": pa.array(size, pa.int32()), "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.binary())})
+
+
+def _rare_postings(buckets: int):
+    """Nodes to postings (shingle, node) of their prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = hot.value
         for batch in batches:
-            keys, nodes = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-            for node, blob in zip(batch.column(0).to_numpy(), batch.column(1).to_pylist()):
-                tokens = np.frombuffer(blob, U64)
-                p = len(tokens) - least_overlap(len(tokens)) + 1
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
-                    tokens = tokens[np.argsort(often[at] == tokens, kind="stable")]
-                keys.append(tokens[:p])
-                nodes.append(np.full(p, node))
-            yield _scatter(np.concatenate(keys), np.concatenate(nodes).view(U64), buckets)
+            sets = [np.frombuffer(x, U64) for x in batch.column(1).to_pylist()]
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in sets])
+            yield _scatter(np.concatenate([np.zeros(0, U64), *sets]), nodes.view(U64), buckets)
 
     return run
 
@@ -220,12 +266,14 @@ def _forest(table: pa.Table) -> pa.Table:
     return pa.table({"u": name[away], "v": name[label[away]]}, schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
 
-def search(sets: list[np.ndarray], parts: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that connect ``sets`` as all their links would; ``parts``: known parts, whose members need none.
+def search(sets: list[np.ndarray], sizes: list[int], parts: list[int]) -> list[tuple[int, int]]:
+    """Links that connect ``sets`` as all their links would.
 
-    T-occurrence search over the sets in order of size, see the module's text.
+    ``sets``: the shingles that may be shared; ``sizes``: of the whole sets; ``parts``:
+    known parts, whose members need no link. T-occurrence search over the sets in order
+    of size, see the module's text.
     """
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    order = sorted(range(len(sets)), key=lambda i: sizes[i])
     parent = list(range(len(sets)))
 
     def root(i: int) -> int:
@@ -241,13 +289,12 @@ def search(sets: list[np.ndarray], parts: list[int] | None = None) -> list[tuple
             parent[a] = b
             groups -= 1
 
-    if parts:
-        first: dict[int, int] = {}
-        for i, p in enumerate(parts):
-            join(i, first.setdefault(p, i))
+    first: dict[int, int] = {}
+    for i, p in enumerate(parts):
+        join(i, first.setdefault(p, i))
 
     def meets(i: int, j: int) -> bool:
-        if linked(np.intersect1d(sets[i], sets[j], assume_unique=True).size, len(sets[i]), len(sets[j])):
+        if linked(np.intersect1d(sets[i], sets[j], assume_unique=True).size, sizes[i], sizes[j]):
             out.append((i, j))
             join(i, j)
             return True
@@ -260,7 +307,7 @@ def search(sets: list[np.ndarray], parts: list[int] | None = None) -> list[tuple
     for at, x in enumerate(order):
         if groups == 1:
             break
-        n = len(sets[x])
+        n = sizes[x]
         common = np.intersect1d(sets[x], shared, assume_unique=True).tolist()
         heads = {root(i): i for i in heads.values()}
         if not (root(x) in heads and len(heads) == 1 or len(heads) == 1 and meets(x, next(iter(heads.values())))):
@@ -274,7 +321,7 @@ def search(sets: list[np.ndarray], parts: list[int] | None = None) -> list[tuple
                         continue
                     last = y
                     z = order[y]
-                    if root(z) != root(x) and 4 * len(sets[z]) >= 3 * n:
+                    if root(z) != root(x) and 4 * sizes[z] >= 3 * n:
                         meets(x, z)
         heads[root(x)] = x
         for t in common:
@@ -286,7 +333,7 @@ def _search_blocks(table: pa.Table) -> pa.Table:
     """Blocks (comp, block) of nodes to links that connect them."""
     keys = np.stack([table.column(c).to_numpy() for c in ("comp", "block", "chunk")])
     order = np.lexsort(keys[::-1])
-    nodes, parts, blobs = table.column("node").to_numpy(), table.column("part").to_numpy(), table.column("tokens")
+    nodes, parts, sizes, blobs = table.column("node").to_numpy(), table.column("part").to_numpy(), table.column("n").to_numpy(), table.column("tokens")
     keys = keys[:, order]
     ends = np.flatnonzero(np.r_[(keys[:, 1:] != keys[:, :-1]).any(axis=0), True]) + 1
     u, v, s = [], [], 0
@@ -298,27 +345,27 @@ def _search_blocks(table: pa.Table) -> pa.Table:
         if len(mine) > 1:
             ids = list(mine)
             sets = [np.frombuffer(blobs[int(k)].as_py(), U64) for k in mine.values()]
-            for i, j in search(sets, [int(parts[k]) for k in mine.values()]):
+            for i, j in search(sets, [int(sizes[k]) for k in mine.values()], [int(parts[k]) for k in mine.values()]):
                 u.append(ids[i])
                 v.append(ids[j])
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Links found in the blocks of ``rows`` (comp, block, chunk, node, part, tokens); blocks are searched many at a time."""
-    rows = rows.select("comp", "block", "chunk", "node", "part", "tokens", F.pmod(F.xxhash64("comp", "block", "chunk"), F.lit(16 * partitions(rows.sparkSession))).alias("deal"))
+    """Links found in the blocks of ``rows`` (comp, block, chunk, node, part, n, tokens); blocks are searched many at a time."""
+    rows = rows.select("comp", "block", "chunk", "node", "part", "n", "tokens", F.pmod(F.xxhash64("comp", "block", "chunk"), F.lit(16 * partitions(rows.sparkSession))).alias("deal"))
     return rows.groupBy("deal").applyInArrow(lambda t: _search_blocks(t), "u long, v long")
 
 
 def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between ``nodes`` (node, tokens) that connect what all links would; ``groups``: (node, label)."""
+    """Links between ``nodes`` (node, n, tokens) that connect what all links would; ``groups``: (node, label)."""
     salted = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"]
     size = groups.groupBy("label").agg(F.count("*").alias("m"), F.array_distinct(F.array(*map(salted, range(3)))).alias("pivots"))
     size = materialise(size.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "join-sizes")
     member = materialise(groups.join(size.select("label", "blocks"), "label"), "join-members")
     member = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pivot = size.where("blocks > 1").select("label", F.explode("pivots").alias("node"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("block"))
-    row = lambda t: t.select(F.col("label").alias("comp"), "block", F.lit(0).alias("chunk"), "node", F.col("node").alias("part"), "tokens")
+    row = lambda t: t.select(F.col("label").alias("comp"), "block", F.lit(0).alias("chunk"), "node", F.col("node").alias("part"), "n", "tokens")
     apart = row(nodes.join(member, "node")).unionByName(row(nodes.join(pivot, "node").withColumn("block", F.explode("block"))))
     found = materialise(_blocks(apart), "join-links")
     large = member.where("blocks > 1")
@@ -335,7 +382,7 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     every = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     outside = left.where("part != main").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = every.select("label", "block", "chunk", "node", "part").unionByName(outside.select("label", "block", "chunk", "node", "part"))
-    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", "chunk", "node", "part", "tokens")
+    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", "chunk", "node", "part", "n", "tokens")
     return found.unionByName(materialise(_blocks(more), "join-links"))
 
 
@@ -345,14 +392,17 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     sc, buckets = spark.sparkContext, 4 * partitions(spark)
     posted = docs.select("text").mapInArrow(_prefix_postings(buckets), POSTINGS)
     counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(buckets), POSTINGS), "join-counts")
-    hot = np.sort(np.frombuffer(b"".join(r["a"] for r in counts.where("bucket = -1").select("a").collect()), U64))
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
-    for r in counts.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
+    for r in counts.groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
         np.bitwise_or.at(bloom, np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], U64))
     rows = materialise(docs.select("doc_id", "text").mapInArrow(_nodes(sc.broadcast(bloom)), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
-    nodes = rows.where("tokens IS NOT NULL").select("node", "tokens")
+    marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
+    counted = marked.mapInArrow(_all_postings(buckets), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(buckets), POSTINGS)
+    shared = counted.groupBy("bucket").applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
+    nodes = materialise(shared, "join-sets")
     few = max(8, partitions(spark) // 4)
-    near = nodes.mapInArrow(_rare_postings(sc.broadcast(hot), few), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
+    near = nodes.select("node", "prefix").mapInArrow(_rare_postings(few), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
+    nodes = nodes.drop("prefix")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")
     least = materialise(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("d")), "join-least")
     of_label = least.join(labels, "node").groupBy("label").agg(F.min("d").alias("c"))
