@@ -13,7 +13,6 @@ table; further columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remainder
+from .textbytes import SLICE, mixed, power_tables, slices
 
 MODULUS, HELD_OUT = 4, 2
 SAMPLE_ROWS = 1200
@@ -32,11 +32,12 @@ ROUNDS = 2
 SMOOTH = 0.05
 #: Probability of a character that no piece holds.
 UNKNOWN = 1e-9
-CACHE = 200_000
+#: Distinct words that are scored together.
+CHUNK = 1 << 14
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"
 #: Characters of a word that are scored together; longer words are cut there.
-SPAN = 48
+SPAN = 32
 
 
 def vocabulary(name: str = VOCABULARY) -> list[str]:
@@ -58,29 +59,6 @@ def parts(word: str) -> list[str]:
     return [w] if len(w) <= SPAN else [w[i : i + SPAN] for i in range(0, len(w), SPAN)]
 
 
-def forward(text: str, table: dict, longest: int, n: int) -> list[float]:
-    """Per language the log of the summed probability of all segmentations of ``text``."""
-    m = len(text)
-    alpha = [None] * (m + 1)
-    alpha[0] = (1.0,) * n
-    get = table.get
-    for i in range(m):
-        a = alpha[i]
-        if a is None:
-            continue
-        reached = False
-        for j in range(i + 1, min(m, i + longest) + 1):
-            p = get(text[i:j])
-            if p is not None:
-                reached = reached or j == i + 1
-                b = alpha[j]
-                alpha[j] = [x * y for x, y in zip(a, p)] if b is None else [x * y + z for x, y, z in zip(a, p, b)]
-        if not reached:
-            b = alpha[i + 1]
-            alpha[i + 1] = [x * UNKNOWN for x in a] if b is None else [x * UNKNOWN + z for x, z in zip(a, b)]
-    return [math.log(x) if x > 0 else -700.0 for x in alpha[m]]
-
-
 def _expected(words: Counter, probability: dict[str, float], longest: int) -> dict[str, float]:
     """Expected piece counts of one language's words, by forward and backward sums."""
     out: dict[str, float] = {}
@@ -106,8 +84,8 @@ def _expected(words: Counter, probability: dict[str, float], longest: int) -> di
     return out
 
 
-def learn(texts: list[tuple[str, str]], pieces: list[str]) -> tuple[list[str], dict[str, tuple[float, ...]], int]:
-    """Languages, probabilities of the pieces in each, and the longest piece, from (language, text) rows."""
+def learn(texts: list[tuple[str, str]], pieces: list[str]) -> tuple[list[str], dict[str, tuple[float, ...]]]:
+    """Languages, and the probabilities of the pieces in each, from (language, text) rows."""
     by: dict[str, Counter] = {}
     for lang, text in texts:
         by.setdefault(lang, Counter()).update(w for x in text.split() if (w := letters(x)))
@@ -129,51 +107,128 @@ def learn(texts: list[tuple[str, str]], pieces: list[str]) -> tuple[list[str], d
             if step < ROUNDS:
                 counts = _expected(words, probability, longest)
         columns.append(probability)
-    return langs, {p: tuple(c[p] for c in columns) for p in pieces} if columns else {}, longest
+    return langs, {p: tuple(c[p] for c in columns) for p in pieces} if columns else {}
+
+
+class Scorer:
+    """Sums over all segmentations for many words at once, by hashes of their substrings."""
+
+    def __init__(self, langs: list[str], table: dict[str, tuple[float, ...]]) -> None:
+        self.langs = langs
+        pieces = sorted(p for p in table if all(c == START or c.isalpha() for c in p))
+        self.longest = max(map(len, pieces), default=0)
+        self.p = np.array([table[x] for x in pieces] + [(UNKNOWN,) * len(langs)])
+        keys = np.array([self._hash(x) for x in pieces], np.uint64)
+        self.slots, rest = [], np.arange(len(keys))
+        while len(rest):  # each table holds the first key of every slot; the few others go on to the next
+            bits = 64 - (20 if not self.slots else 14)
+            slot = (keys[rest] >> np.uint64(bits)).astype(np.int64) if not self.slots else (mixed(keys[rest] + np.uint64(len(self.slots))) >> np.uint64(bits)).astype(np.int64)
+            _, first = np.unique(slot, return_index=True)
+            key, at = np.zeros(1 << (64 - bits), np.uint64), np.full(1 << (64 - bits), -1, np.int32)
+            key[slot[first]], at[slot[first]] = keys[rest[first]], rest[first]
+            self.slots.append((bits, key, at))
+            rest = np.delete(rest, first)
+
+    @staticmethod
+    def _hash(piece: str) -> int:
+        codes = mixed(np.array(list(map(ord, piece)), np.uint64))
+        up, _ = power_tables(len(codes) + 1)
+        return int(mixed(np.array([np.sum(codes * up[: len(codes)], dtype=np.uint64)], np.uint64))[0])
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Index of the piece with each hash, or -1."""
+        out = np.full(len(h), -1, np.int32)
+        for k, (bits, key, at) in enumerate(self.slots):
+            if k == 0:
+                slot = (h >> np.uint64(bits)).astype(np.int64)
+                out = np.where(key[slot] == h, at[slot], out)
+            else:
+                open_ = np.flatnonzero(out < 0)
+                slot = (mixed(h[open_] + np.uint64(k)) >> np.uint64(bits)).astype(np.int64)
+                out[open_] = np.where(key[slot] == h[open_], at[slot], -1)
+        return out
+
+    def sums(self, run: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Log of the summed probability per string and language; strings by start and size in the running hash."""
+        _, down = power_tables(len(run))
+        order = np.argsort(-sizes, kind="stable")
+        out = np.zeros((len(starts), len(self.langs)))
+        for c in range(0, len(order), CHUNK):
+            own = order[c : c + CHUNK]
+            s, n = starts[own], sizes[own]
+            alpha = np.zeros((int(n[0]) + 1, len(own), len(self.langs)))
+            alpha[0] = 1
+            for t in range(1, int(n[0]) + 1):
+                live = int(np.count_nonzero(n >= t))
+                e = s[:live] + t
+                for size in range(1, min(t, self.longest) + 1):
+                    piece = self._find(mixed((run[e] - run[e - size]) * down[e - size]))
+                    if size == 1:
+                        alpha[t, :live] = alpha[t - 1, :live] * self.p[piece]  # -1: the unknown character, last
+                    else:
+                        hit = np.flatnonzero(piece >= 0)
+                        alpha[t, hit] += alpha[t - size, hit] * self.p[piece[hit]]
+            out[own] = np.log(np.maximum(alpha[n, np.arange(len(own))], 1e-300))
+        return out
+
+    def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Log likelihood per text and language, and which texts have a letter."""
+        low = [(t or "").lower() for t in texts]
+        ends = np.cumsum([len(t) + 1 for t in low])
+        cp = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le"), np.uint32)
+        is_letter, is_space = _kinds(cp)
+        where = np.flatnonzero(is_letter)
+        total, some = np.zeros((len(low), len(self.langs))), np.zeros(len(low), bool)
+        if not len(where):
+            return total, some
+        word = np.cumsum(is_space)[where]
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        chars = np.insert(cp[where].astype(np.uint64), first, ord(START))
+        size = np.diff(np.r_[first, len(where)]) + 1
+        start = np.cumsum(size) - size
+        at = np.arange(len(chars)) - np.repeat(start, size)
+        cut = np.flatnonzero(at % SPAN == 0)
+        sizes = np.diff(np.r_[cut, len(chars)])
+        row = np.searchsorted(ends, where[first], side="right")[np.repeat(np.arange(len(size)), -(-size // SPAN))]
+        up, down = power_tables(len(chars) + 1)
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(chars) * up[: len(chars)])])
+        _, one, back = np.unique(mixed((run[cut + sizes] - run[cut]) * down[cut]) + sizes.astype(np.uint64), return_index=True, return_inverse=True)
+        logs = self.sums(run, cut[one], sizes[one])
+        for k in range(len(self.langs)):
+            total[:, k] = np.bincount(row, logs[back, k], len(low))
+        some[row] = True
+        return total, some
+
+
+_tables: list[np.ndarray] = []
+
+
+def _kinds(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which code points are letters, and which are white space."""
+    if not _tables:
+        basic = [chr(i) for i in range(0x10000)]
+        _tables[:] = [np.array([c.isalpha() for c in basic]), np.array([c.isspace() for c in basic])]
+    low = np.minimum(cp, 0xFFFF)
+    letter, space = _tables[0][low], _tables[1][low]
+    for i in np.flatnonzero(cp > 0xFFFF):
+        letter[i] = chr(cp[i]).isalpha()
+    return letter, space
 
 
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, table, longest = model.value
-        n = len(langs)
-        at: dict[str, int] = {}
-        logs = np.zeros((CACHE + 1, n))
-
-        def place(word: str) -> int:
-            """Row of the word's scores; 0 for no letter."""
-            if (w := letters(word)) == "":
-                at[word] = 0
-                return 0
-            k = at.get(w, -1)
-            if k < 0:
-                k = place.used = place.used + 1
-                logs[k] = np.sum([forward(x, table, longest, n) for x in parts(w)], axis=0)
-                at[w] = k
-            at[word] = k
-            return k
-
-        place.used = 0
+        scorer = Scorer(*model.value)
+        langs = pa.array([*scorer.langs, "und"], pa.string())
         for b in batches:
-            pred, score = [], []
-            for text in b.column(2).to_pylist():
-                total, some = np.zeros(n), False
-                words = list(Counter(text.split()).items()) if text and n else []
-                for s in range(0, len(words), CACHE // 4):
-                    if place.used > CACHE // 2 or len(at) > 2 * CACHE:
-                        at.clear()
-                        place.used = 0
-                    own = words[s : s + CACHE // 4]
-                    rows = np.array([k if (k := at.get(w)) is not None else place(w) for w, _ in own])
-                    total += np.array([c for _, c in own]) @ logs[rows]
-                    some = some or bool(rows.any())
-                if not some:
-                    pred.append("und")
-                    score.append(0.0)
-                else:
-                    best = int(np.argmax(total))
-                    pred.append(langs[best])
-                    score.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+            for i, j, *_ in slices(b.column(2), SLICE // 2):
+                own = b.slice(i, j - i)
+                total, some = scorer.texts(own.column(2).to_pylist())
+                if not scorer.langs:
+                    some[:] = False
+                best = np.where(some, total.argmax(axis=1) if scorer.langs else 0, len(scorer.langs))
+                with np.errstate(over="ignore"):
+                    score = np.where(some, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1), 0.0) if scorer.langs else np.zeros(len(own))
+                yield pa.RecordBatch.from_arrays([own.column(0).cast(pa.int64()), own.column(1), langs.take(pa.array(best)), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return run
 
@@ -181,7 +236,8 @@ def _scored(model):
 def identify(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score."""
     held = (remainder(F.col("doc_id"), MODULUS) == HELD_OUT).alias("held_out")
-    labelled = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select("lang", "text").collect()
-    model = docs.sparkSession.sparkContext.broadcast(learn([tuple(r) for r in sample], vocabulary(name)))
+    labelled = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    sample = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text").orderBy("doc_id", "lang", "text").limit(SAMPLE_ROWS).collect()
+    model = docs.sparkSession.sparkContext.broadcast(learn([(r[1], r[2]) for r in sample], vocabulary(name)))
     return docs.select("doc_id", held, "text").mapInArrow(_scored(model), "doc_id long, held_out boolean, lang_pred string, score double")

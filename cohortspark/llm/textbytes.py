@@ -70,7 +70,7 @@ def _byte_codes(lower: bool) -> np.ndarray:
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
         odd = 0x9E3779B97F4A7C15
@@ -83,7 +83,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     """A 64-bit hash of each word's bytes, A-Z as a-z if asked."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_codes(lower)[data] * up[: len(data)])])
     return mixed((run[ends] - run[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
