@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, mixing, ngram_join, packing, quality_model, quality_rules
+from . import exact_dedup, language_id, main_text, mixing, ngram_join, packing, pii, quality_model, quality_rules, secrets
 from .common import table
 
 
@@ -14,14 +14,26 @@ def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -39,7 +51,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_trees, op3_exact_dedup, op5_mix_sources, op7_ngram_jaccard_join, op8_quality_rules, op9_language_id, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_quality_trees, op2_personal_data, op3_exact_dedup, op4_main_text, op5_mix_sources, op6_secrets, op7_ngram_jaccard_join, op8_quality_rules, op9_language_id, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
