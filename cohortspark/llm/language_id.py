@@ -220,7 +220,7 @@ def _scored(model):
         scorer = Scorer(*model.value)
         langs = pa.array([*scorer.langs, "und"], pa.string())
         for b in batches:
-            for i, j, *_ in slices(b.column(2), SLICE // 2):
+            for i, j, *_ in slices(b.column(2), 2 * SLICE):
                 own = b.slice(i, j - i)
                 total, some = scorer.texts(own.column(2).to_pylist())
                 if not scorer.langs:

@@ -14,8 +14,9 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    searched whole; one of more than ``BLOCK`` documents is dealt into blocks, each with
    the same few pivots of the group.
 3. Search. In a block, each document queries the inverted lists of those before it: the
-   long lists are set aside, the short ones heap-merged, and candidates probed by binary
-   search in the rest (DivideSkip). Documents already connected need no further probe.
+   long lists are set aside, the short ones heap-merged, and candidates probed in the long
+   ones (DivideSkip; a block's lists being short, all probes of a candidate are one
+   operation on bit sets). Documents already connected need no further probe.
 4. Rest. Where the blocks of a group stay apart, every document outside the group's
    largest part is searched against all blocks of the group, pair of blocks by pair.
 
@@ -29,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,7 @@ WIDTH = 5
 BLOCK = 64
 #: Bits of the survivors' filter.
 BLOOM_BITS = 26
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 N_BITS = 24
 POSTINGS = "bucket int, a binary, b binary"
 U64 = np.uint64
@@ -293,67 +295,92 @@ def search(sets: list[np.ndarray], sizes: list[int], parts: list[int]) -> list[t
     for i, p in enumerate(parts):
         join(i, first.setdefault(p, i))
 
-    def meets(i: int, j: int) -> bool:
-        if linked(np.intersect1d(sets[i], sets[j], assume_unique=True).size, sizes[i], sizes[j]):
+    tokens, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # of the shingles that two sets have
+    own, masks, s = [], [], 0
+    for x in sets:
+        mine = at[s : s + len(x)]
+        mine, s = number[mine[count[mine] > 1]], s + len(x)
+        bits = np.zeros(int(number[-1]) + 1 if len(number) else 0, bool)
+        bits[mine] = True
+        own.append(mine.tolist())
+        masks.append(int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little"))
+
+    def meets(i: int, j: int, overlap: int) -> bool:
+        if linked(overlap, sizes[i], sizes[j]):
             out.append((i, j))
             join(i, j)
             return True
         return False
 
-    shared, count = np.unique(np.concatenate(sets), return_counts=True)
-    shared = shared[count > 1]
     lists: dict[int, list[int]] = {}  # inverted lists of positions in ``order``
     heads: dict[int, int] = {}  # a member of each part seen so far
-    for at, x in enumerate(order):
+    for place, x in enumerate(order):
         if groups == 1:
             break
         n = sizes[x]
-        common = np.intersect1d(sets[x], shared, assume_unique=True).tolist()
         heads = {root(i): i for i in heads.values()}
-        if not (root(x) in heads and len(heads) == 1 or len(heads) == 1 and meets(x, next(iter(heads.values())))):
+        alone = next(iter(heads.values())) if len(heads) == 1 else -1
+        if not (alone >= 0 and (root(x) in heads or meets(x, alone, (masks[x] & masks[alone]).bit_count()))):
             need = -(-3 * (n + least_overlap(n)) // 7)
-            of = sorted((lists[t] for t in common if t in lists), key=len)
+            of = sorted((t for t in own[x] if t in lists), key=lambda t: len(lists[t]))
             if len(of) >= need:
                 short = of[: len(of) - need + 1]  # need - 1 long lists are set aside
-                last = -1
-                for y in heapq.merge(*short):
-                    if y == last:
-                        continue
-                    last = y
+                aside = masks[x]
+                for t in short:
+                    aside ^= 1 << t
+                for y, same in groupby(heapq.merge(*(lists[t] for t in short))):
                     z = order[y]
                     if root(z) != root(x) and 4 * sizes[z] >= 3 * n:
-                        meets(x, z)
+                        meets(x, z, sum(1 for _ in same) + (masks[z] & aside).bit_count())
         heads[root(x)] = x
-        for t in common:
-            lists.setdefault(t, []).append(at)
+        for t in own[x]:
+            lists.setdefault(t, []).append(place)
     return out
 
 
+def _stars(ids: list[int], pivot: list[bool], links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links as each linked node and the first of its part: its smallest pivot, else its smallest node."""
+    label = list(range(len(ids)))
+
+    def root(i: int) -> int:
+        while label[i] != i:
+            label[i] = i = label[label[i]]
+        return i
+
+    for i, j in links:
+        a, b = sorted((root(i), root(j)), key=lambda k: (not pivot[k], ids[k]))
+        label[b] = a
+    return [(ids[i], ids[root(i)]) for i in range(len(ids)) if root(i) != i]
+
+
 def _search_blocks(table: pa.Table) -> pa.Table:
     """Blocks (comp, block) of nodes to links that connect them."""
     keys = np.stack([table.column(c).to_numpy() for c in ("comp", "block", "chunk")])
     order = np.lexsort(keys[::-1])
     nodes, parts, sizes, blobs = table.column("node").to_numpy(), table.column("part").to_numpy(), table.column("n").to_numpy(), table.column("tokens")
+    pivots = table.column("pivot").to_numpy(zero_copy_only=False)
     keys = keys[:, order]
     ends = np.flatnonzero(np.r_[(keys[:, 1:] != keys[:, :-1]).any(axis=0), True]) + 1
     u, v, s = [], [], 0
     for e in ends:
         mine = {}
-        for k in order[s:e]:
+        for k in sorted(order[s:e], key=lambda k: not pivots[k]):
             mine.setdefault(int(nodes[k]), k)
         s = e
         if len(mine) > 1:
             ids = list(mine)
             sets = [np.frombuffer(blobs[int(k)].as_py(), U64) for k in mine.values()]
-            for i, j in search(sets, [int(sizes[k]) for k in mine.values()], [int(parts[k]) for k in mine.values()]):
-                u.append(ids[i])
-                v.append(ids[j])
+            links = search(sets, [int(sizes[k]) for k in mine.values()], [int(parts[k]) for k in mine.values()])
+            for i, j in _stars(ids, [bool(pivots[k]) for k in mine.values()], links):
+                u.append(i)
+                v.append(j)
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Links found in the blocks of ``rows`` (comp, block, chunk, node, part, n, tokens); blocks are searched many at a time."""
-    rows = rows.select("comp", "block", "chunk", "node", "part", "n", "tokens", F.pmod(F.xxhash64("comp", "block", "chunk"), F.lit(16 * partitions(rows.sparkSession))).alias("deal"))
+    """Links found in the blocks of ``rows`` (comp, block, chunk, node, part, pivot, n, tokens); blocks are searched many at a time."""
+    rows = rows.select("comp", "block", "chunk", "node", "part", "pivot", "n", "tokens", F.pmod(F.xxhash64("comp", "block", "chunk"), F.lit(16 * partitions(rows.sparkSession))).alias("deal"))
     return rows.groupBy("deal").applyInArrow(lambda t: _search_blocks(t), "u long, v long")
 
 
@@ -365,13 +392,13 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     member = materialise(groups.join(size.select("label", "blocks"), "label"), "join-members")
     member = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pivot = size.where("blocks > 1").select("label", F.explode("pivots").alias("node"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("block"))
-    row = lambda t: t.select(F.col("label").alias("comp"), "block", F.lit(0).alias("chunk"), "node", F.col("node").alias("part"), "n", "tokens")
-    apart = row(nodes.join(member, "node")).unionByName(row(nodes.join(pivot, "node").withColumn("block", F.explode("block"))))
+    row = lambda t, p: t.select(F.col("label").alias("comp"), "block", F.lit(0).alias("chunk"), "node", F.col("node").alias("part"), F.lit(p).alias("pivot"), "n", "tokens")
+    apart = row(nodes.join(member, "node"), False).unionByName(row(nodes.join(pivot, "node").withColumn("block", F.explode("block")), True))
     found = materialise(_blocks(apart), "join-links")
     large = member.where("blocks > 1")
     if large.isEmpty():
         return found
-    part = connected_components(found).withColumnRenamed("label", "part")
+    part = found.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("part"))  # parts that blocks agree on: a pivot, if any
     large = materialise(large.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "join-large")
     counted = large.groupBy("label", "part").agg(F.count("*").alias("c"))
     main = counted.groupBy("label").agg(F.max_by("part", F.struct("c", "part")).alias("main"), (F.sum("c") - F.max("c")).alias("outside")).where("outside > 0")
@@ -382,25 +409,24 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     every = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     outside = left.where("part != main").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = every.select("label", "block", "chunk", "node", "part").unionByName(outside.select("label", "block", "chunk", "node", "part"))
-    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", "chunk", "node", "part", "n", "tokens")
+    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", "chunk", "node", "part", F.lit(False).alias("pivot"), "n", "tokens")
     return found.unionByName(materialise(_blocks(more), "join-links"))
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    sc, buckets = spark.sparkContext, 4 * partitions(spark)
+    sc, buckets, few = spark.sparkContext, 2 * partitions(spark), max(8, partitions(spark) // 4)
     posted = docs.select("text").mapInArrow(_prefix_postings(buckets), POSTINGS)
-    counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(buckets), POSTINGS), "join-counts")
+    counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(partitions(spark)), POSTINGS), "join-counts")
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
     for r in counts.groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
         np.bitwise_or.at(bloom, np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], U64))
     rows = materialise(docs.select("doc_id", "text").mapInArrow(_nodes(sc.broadcast(bloom)), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
     marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
-    counted = marked.mapInArrow(_all_postings(buckets), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(buckets), POSTINGS)
+    counted = marked.mapInArrow(_all_postings(buckets), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(partitions(spark)), POSTINGS)
     shared = counted.groupBy("bucket").applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
     nodes = materialise(shared, "join-sets")
-    few = max(8, partitions(spark) // 4)
     near = nodes.select("node", "prefix").mapInArrow(_rare_postings(few), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
     nodes = nodes.drop("prefix")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")
