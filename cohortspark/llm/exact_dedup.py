@@ -40,6 +40,10 @@ def _sorted(docs: DataFrame, with_row: bool) -> DataFrame:
     return d.repartitionByRange(partitions(docs.sparkSession), "lead", "h", *tail).sortWithinPartitions("lead", "h", "norm", *tail)
 
 
+def _digest(norm: pa.Array, i: int) -> str:
+    return hashlib.sha256(norm[i].as_buffer()).hexdigest()
+
+
 def _runs(only_first: bool):
     """Arrow batches of a sorted partition to its rows with their runs; of each run the first row only, if asked."""
 
@@ -47,47 +51,61 @@ def _runs(only_first: bool):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        names = ["doc_id", "text_sha256", "run_keep", "run_size", "run_pid", "run_first", "run_edge"]
-        last: bytes | None = None
-        ids: list = []  # of the run that is open, and its digest and first row
-        sha, head, opened, typed = "", None, 0, None
-
-        def close(edge: bool) -> pa.RecordBatch:
-            flat = pa.chunked_array(ids).combine_chunks()
-            n = len(flat)
-            k = 1 if only_first else n
-            first = np.zeros(k, bool)
-            first[0] = True
-            cols = [flat.slice(0, k), pa.array([sha] * k, pa.string()), pa.array([flat[0].as_py()] * k, pa.int64()), pa.array(np.full(k, n)), pa.array(np.full(k, pid, np.int32)), pa.array(first), pa.array(np.full(k, edge))]
+        names = ["doc_id", "text_sha256", "run_keep", "run_size", "run_pid", "run_first", "run_edge"] + ["row"] * only_first
+
+        def rows(ids: pa.Array, size: np.ndarray, sha: list[str], edge: bool, row: pa.Array | None) -> pa.RecordBatch:
+            """Runs with ``size`` rows each: all their ids, or the first ones with their rows."""
+            first = np.cumsum(size) - size
             if only_first:
-                return pa.RecordBatch.from_arrays([*cols, head], names=[*names, "row"])
-            return pa.RecordBatch.from_arrays(cols, names=names)
+                keep, each = ids, np.ones(len(size), np.int64)
+            else:
+                keep, each = ids.take(pa.array(first)), size
+            n = int(each.sum())
+            head = np.zeros(n, bool)
+            head[np.cumsum(each) - each] = True
+            at = pa.array(np.repeat(np.arange(len(size)), each))
+            cols = [ids, pa.array(sha, pa.string()).take(at), keep.take(at), pa.array(np.repeat(size, each)), pa.array(np.full(n, pid, np.int32)), pa.array(head), pa.array(np.full(n, edge))]
+            return pa.RecordBatch.from_arrays(cols + [row] * only_first, names=names)
+
+        last, sha, row, ids, count, closed = None, "", None, [], 0, 0  # of the run that is open
+
+        def close(end: bool) -> pa.RecordBatch:
+            own = pa.chunked_array(ids, pa.int64()).combine_chunks()
+            return rows(own.slice(0, 1) if only_first else own, np.array([count]), [sha], end or closed == 0, row)
 
         for b in batches:
-            if not b.num_rows:
+            if not (n := b.num_rows):
                 continue
             norm, doc = b.column("norm"), b.column("doc_id")
-            same = np.zeros(b.num_rows, bool)
-            same[1:] = pc.equal(norm.slice(1), norm.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+            same = np.zeros(n, bool)
+            same[1:] = pc.equal(norm.slice(1), norm.slice(0, n - 1)).to_numpy(zero_copy_only=False)
             same[0] = last is not None and norm[0].as_py() == last
             starts = np.flatnonzero(~same)
-            if same[0]:
-                ids.append(doc.slice(0, int(starts[0]) if len(starts) else b.num_rows))
-            done = []
-            for i, s in enumerate(starts):
-                if ids:
-                    done.append(close(opened == 1))
-                opened += 1
-                e = int(starts[i + 1]) if i + 1 < len(starts) else b.num_rows
-                sha = hashlib.sha256(norm[int(s)].as_py()).hexdigest()
-                ids = [doc.slice(int(s), e - int(s))]
-                if only_first:
-                    head = b.column("row").slice(int(s), 1)
-            last = norm[b.num_rows - 1].as_py()
-            if done:
-                typed = pa.Table.from_batches(done).combine_chunks()
-                yield from typed.to_batches()
-        if ids:
+            lead = int(starts[0]) if len(starts) else n
+            if lead:
+                count += lead
+                if not only_first:
+                    ids.append(doc.slice(0, lead))
+            if len(starts):
+                if count:
+                    yield close(False)
+                    closed += 1
+                inner, s, e = starts[:-1], int(starts[0]), int(starts[-1])
+                if len(inner):
+                    if closed == 0:  # the partition's first run is an end of it
+                        k = int(starts[1])
+                        yield rows(doc.slice(s, 1 if only_first else k - s), np.array([k - s]), [_digest(norm, s)], True, b.column("row").take(pa.array([s])) if only_first else None)
+                        inner, s = inner[1:], k
+                    if len(inner):
+                        size = np.diff(np.r_[inner, e])
+                        at = pa.array(inner)
+                        yield rows(doc.take(at) if only_first else doc.slice(s, e - s), size, [_digest(norm, int(i)) for i in inner], False, b.column("row").take(at) if only_first else None)
+                    closed += len(starts) - 1
+                sha, count = _digest(norm, e), n - e
+                ids = [doc.take(pa.array([e]))] if only_first else [doc.slice(e)]
+                row = b.column("row").take(pa.array([e])) if only_first else None
+            last = norm[n - 1].as_py()
+        if count:
             yield close(True)
 
     return run

@@ -74,9 +74,11 @@ def repeated_words(words: Column) -> Column:
 def with_features(docs: DataFrame, *others: str) -> DataFrame:
     """``others`` of ``docs`` with the base counts, ``base_failed`` and the metrics."""
     keep = [F.col(c) for c in others]
-    one = docs.select(*keep, *(c.alias(n) for n, c in features(F.col("text")).items()))
+    # a column that isn't deterministic keeps the optimiser from moving the counts into a filter, where each use would count again
+    one = docs.select(*keep, F.monotonically_increasing_id().alias("_q_once"), *(c.alias(n) for n, c in features(F.col("text")).items()))
     two = one.select(
         *keep,
+        "_q_once",
         "word_chars",
         "n_symbols",
         F.size("_q_words").cast("long").alias("n_words"),
@@ -87,6 +89,7 @@ def with_features(docs: DataFrame, *others: str) -> DataFrame:
     per = lambda a, b, k: F.expr(f"least(1000, ({k} * {a}) div greatest(1, {b}))").cast("int")
     return two.select(
         *keep,
+        "_q_once",
         *BASE,
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         per("n_symbols", "word_chars", 1000).alias("_q_symbols"),
@@ -153,7 +156,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     fence = materialise(fences(sketches(with_features(docs, "lang", "source"))), "quality-fences")
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_q_row"), "text", "lang", "source")
-    return verdict(with_features(held, "_q_row", "lang", "source"), fence).where("kept").select("_q_row.*")
+    return verdict(with_features(held, "_q_row", "lang", "source"), fence).where("kept AND _q_once >= 0").select("_q_row.*")
 
 
 ORACLE = r"""
