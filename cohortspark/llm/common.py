@@ -65,5 +65,22 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def freeing(run):
+    """``run`` over Arrow batches, the worker's free memory returned to the system when the task ends."""
+
+    def wrapped(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

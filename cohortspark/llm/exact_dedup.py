@@ -25,19 +25,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, materialise, partitions, small
+from .common import SPACE, freeing, materialise, partitions, small
 
 LEAD = 64
 OUT = "doc_id long, text_sha256 string, run_keep long, run_size long, run_pid int, run_first boolean, run_edge boolean"
 
 
 def _sorted(docs: DataFrame, with_row: bool) -> DataFrame:
-    norm = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, "")
-    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if with_row else []
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).alias("n"), F.encode(norm, "UTF-8").alias("norm"), *row)
-    d = d.select("*", F.substring("norm", 1, LEAD).alias("lead"), F.xxhash64("norm").alias("h"))
+    """doc_id, norm (and row): range-partitioned and sorted. A row that is carried holds its text, so only that is moved."""
+    plain = lambda text: F.encode(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, ""), "UTF-8")
+    held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row") if with_row else plain(F.col("text")).alias("norm")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).alias("n"), held)
+    norm = plain(F.col("row.text")) if with_row else F.col("norm")
     tail = [F.col("n").desc(), F.col("doc_id").asc_nulls_last()]
-    return d.repartitionByRange(partitions(docs.sparkSession), "lead", "h", *tail).sortWithinPartitions("lead", "h", "norm", *tail)
+    dealt = d.select("*", F.substring(norm, 1, LEAD).alias("lead"), F.xxhash64(norm).alias("h")).repartitionByRange(partitions(docs.sparkSession), "lead", "h", *tail)
+    return (dealt.withColumn("norm", norm) if with_row else dealt).sortWithinPartitions("lead", "h", "norm", *tail)
 
 
 def _digest(norm: pa.Array, i: int) -> str:
@@ -124,14 +126,14 @@ def _resolved(runs: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    runs = materialise(_sorted(docs, False).select("doc_id", "norm").mapInArrow(_runs(False), OUT), "exact-runs")
+    runs = materialise(_sorted(docs, False).select("doc_id", "norm").mapInArrow(freeing(_runs(False)), OUT), "exact-runs")
     return _resolved(runs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     schema = T._parse_datatype_string(OUT).add("row", docs.schema)
-    runs = materialise(_sorted(docs, True).select("doc_id", "norm", "row").mapInArrow(_runs(True), schema), "exact-runs")
+    runs = materialise(_sorted(docs, True).select("doc_id", "norm", "row").mapInArrow(freeing(_runs(True)), schema), "exact-runs")
     return _resolved(runs).where("kept").select("row.*")
 
 

@@ -3,8 +3,8 @@
 Two documents link when their sets of five-word shingles have a Jaccard similarity of
 0.75 or more. Exact, with shingles as 64-bit hashes and equal sets as one node.
 
-1. Bound. In any fixed order of shingles, documents with a large enough overlap share at
-   least ``l`` of their first ``|x| - ceil(0.75|x|) + l`` shingles. Postings of those
+1. Bound. In any fixed order of shingles, documents with a large enough overlap share about
+   ``l`` of their first ``|x| - ceil(0.75|x|) + l`` shingles. Postings of those
    prefixes (hash order) are sent to ranges of hash space as packed arrays, and a
    document goes on only if enough of its prefix occurs elsewhere. Survivors are marked
    in a Bloom filter of fixed size (false marks cost time, not results).
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions
+from .common import freeing, materialise, partitions
 from .components import connected_components
 from .textbytes import shingle_sets, slices
 
@@ -57,8 +57,17 @@ def least_overlap(n):
 
 
 def extra(n):
-    """``l``: shingles of the prefix that a partner is sure to share."""
-    return 15 * n // 100 + 1
+    """``l``: by how many shingles the prefix is longer than the shortest sufficient one, and one more."""
+    return n // 5 + 1
+
+
+def sure(n):
+    """Shingles of the prefix that any partner is sure to have in its own.
+
+    The overlap is at least ``least_overlap`` of the larger set, and each prefix leaves
+    out ``least_overlap - extra`` shingles, which grows with the size but for steps of 1.
+    """
+    return extra(n) - 1
 
 
 def linked(overlap: int, n: int, m: int) -> bool:
@@ -147,7 +156,7 @@ def _survivor_bits(table: pa.Table) -> pa.Table:
     found, at = np.unique(marks, return_inverse=True)
     total = np.bincount(at, counts, len(found))
     size = (found & U64((1 << N_BITS) - 1)).astype(np.int64)
-    bits = (found[total >= extra(least_overlap(size))] >> U64(64 - BLOOM_BITS)).astype(np.int64)
+    bits = (found[total >= np.maximum(1, sure(size))] >> U64(64 - BLOOM_BITS)).astype(np.int64)
     words, at = np.unique(bits >> 6, return_inverse=True)
     value = np.zeros(len(words), U64)
     np.bitwise_or.at(value, at, U64(1) << (bits & 63).astype(U64))
@@ -417,17 +426,17 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     sc, buckets, few = spark.sparkContext, 2 * partitions(spark), max(8, partitions(spark) // 4)
-    posted = docs.select("text").mapInArrow(_prefix_postings(buckets), POSTINGS)
+    posted = docs.select("text").mapInArrow(freeing(_prefix_postings(buckets)), POSTINGS)
     counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(partitions(spark)), POSTINGS), "join-counts")
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
     for r in counts.groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
         np.bitwise_or.at(bloom, np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], U64))
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(_nodes(sc.broadcast(bloom)), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
+    rows = materialise(docs.select("doc_id", "text").mapInArrow(freeing(_nodes(sc.broadcast(bloom))), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
     marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
-    counted = marked.mapInArrow(_all_postings(buckets), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(partitions(spark)), POSTINGS)
+    counted = marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(partitions(spark)), POSTINGS)
     shared = counted.groupBy("bucket").applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
     nodes = materialise(shared, "join-sets")
-    near = nodes.select("node", "prefix").mapInArrow(_rare_postings(few), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
+    near = nodes.select("node", "prefix").mapInArrow(freeing(_rare_postings(few)), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
     nodes = nodes.drop("prefix")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")
     least = materialise(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("d")), "join-least")

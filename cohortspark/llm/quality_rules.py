@@ -154,7 +154,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    fence = materialise(fences(sketches(with_features(docs, "lang", "source"))), "quality-fences")
+    sketch = materialise(sketches(with_features(docs, "lang", "source")), "quality-sketch")
+    fence = materialise(fences(sketch), "quality-fences")
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_q_row"), "text", "lang", "source")
     return verdict(with_features(held, "_q_row", "lang", "source"), fence).where("kept AND _q_once >= 0").select("_q_row.*")
 
