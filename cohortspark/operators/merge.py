@@ -86,9 +86,10 @@ def combine(kind: Column, alt: Column, prefix: str = "") -> dict[str, Column]:
     whole = base + extra + r
     deletion = F.when(whole > 0, whole).when(nc, -1)
 
-    kept = F.col(prefix + "ri").cast("int")
-    for x in BASES:
-        kept = F.when((b[x] > 0) & (((a == 0) & (n == 0)) | kept.isNull()), F.coalesce(kept, F.lit(0)) + b[x]).otherwise(kept)
+    # bases join the insertion's reference where the sample has nothing inserted; else the first one stands in for a missing entry
+    ri = F.col(prefix + "ri").cast("int")
+    free = F.when(ri.isNotNull() | (every > 0), F.coalesce(ri, F.lit(0)) + every)
+    kept = F.when((a == 0) & (n == 0), free).otherwise(F.coalesce(ri, *(_positive(b[x]) for x in BASES)))
     kept = F.when(kept.isNull() & nc, F.lit(-1)).otherwise(kept)
     added = F.when(kept == -1, r).otherwise(kept + r)
     insertion = F.when(r > 0, F.when(kept.isNull(), r).when((a == 0) & (more == 0), added).otherwise(kept)).otherwise(kept)
@@ -115,10 +116,13 @@ def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 100
     rows = rows.withColumn("type", G.type_of_id(F.col("ref"), F.col("alt")))
     if indexed is not None:
         rows = rows.join(indexed.select("sample_id", F.lit(True).alias("_indexed")), "sample_id", "left").withColumn("not_pass", F.col("not_pass") & F.coalesce("_indexed", F.lit(False)))
+    # a column that isn't deterministic keeps the rules out of the filter below, where each use would repeat them
+    rows = rows.withColumn("_once", F.monotonically_increasing_id())
     out = combine(F.col("type"), F.col("alt"))
-    done = rows.select(*VARIANT, "type", "sample_id", F.coalesce("a", F.lit(0)).alias("a"), *(v.alias(k) for k, v in out.items()), "not_pass")
+    done = rows.select("_once", *VARIANT, "type", "sample_id", F.coalesce("a", F.lit(0)).alias("a"), *(v.alias(k) for k, v in out.items()), "not_pass")
     shown = ["reference", *(f"sec_{x}" for x in BASES), "sec_del", "sec_ins"]
-    return done.where(F.expr("a > 0 OR not_pass OR " + " OR ".join(f"{c} IS NOT NULL" for c in shown)))
+    any_ = "a > 0 OR not_pass OR " + " OR ".join(f"{c} IS NOT NULL" for c in shown)
+    return done.where(F.expr(f"_once >= 0 AND ({any_})")).drop("_once")
 
 
 def slots(merged: DataFrame) -> DataFrame:

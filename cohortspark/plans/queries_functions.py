@@ -172,9 +172,9 @@ def srt_1(spark: SparkSession, d: str) -> DataFrame:
     return A.call_regions(spark, d).select("sample_id", "chrom", "start", "end", F.row_number().over(order).alias("nr"))
 
 
-@query("srt_2_position_order", "variants", "SELECT chrom, pos, lag(pos) OVER (PARTITION BY chrom ORDER BY pos) AS before FROM variants")
+@query("srt_2_position_order", "variants", "SELECT chrom, pos, coalesce(lag(pos) OVER (PARTITION BY chrom ORDER BY pos), -1) AS before FROM variants")
 def srt_2(spark: SparkSession, d: str) -> DataFrame:
-    return A.variants(spark, d).select("chrom", "pos", F.lag("pos").over(W.partitionBy("chrom").orderBy("pos")).alias("before"))
+    return A.variants(spark, d).select("chrom", "pos", F.lag("pos", 1, -1).over(W.partitionBy("chrom").orderBy("pos")).alias("before"))
 
 
 @query("srt_3_sample_lists", "calls", "SELECT chrom, pos, string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id) AS ids FROM calls WHERE gt = '1/1' GROUP BY 1, 2")

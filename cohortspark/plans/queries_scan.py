@@ -67,7 +67,7 @@ def src_9(spark: SparkSession, d: str) -> DataFrame:
     return readers.reference_and_variants(n(["0", "0/0"], "n_ref"), n(["0/1", "1/1"], "n_alt"))
 
 
-@query("src_10_append_union", "calls", "SELECT chrom, sum(n) AS n FROM (SELECT chrom, count(*) n FROM calls WHERE sample_id % 2 = 0 GROUP BY 1 UNION ALL SELECT chrom, count(*) FROM calls WHERE sample_id % 3 = 0 GROUP BY 1) GROUP BY chrom")
+@query("src_10_append_union", "calls", "SELECT chrom, CAST(sum(n) AS BIGINT) AS n FROM (SELECT chrom, count(*) n FROM calls WHERE sample_id % 2 = 0 GROUP BY 1 UNION ALL SELECT chrom, count(*) FROM calls WHERE sample_id % 3 = 0 GROUP BY 1) GROUP BY chrom")
 def src_10(spark: SparkSession, d: str) -> DataFrame:
     from cohortspark.operators.merge import append_counts
 
@@ -75,7 +75,7 @@ def src_10(spark: SparkSession, d: str) -> DataFrame:
     return append_counts(c.where("sample_id % 2 = 0"), c.where("sample_id % 3 = 0")).groupBy("chrom").agg(F.count("*").alias("n"))
 
 
-@query("src_11_12_parquet_round_trip", "variants", "SELECT chrom, count(*) AS n, sum(pos) AS pos_sum FROM variants WHERE chrom IN ('1', '7') GROUP BY chrom")
+@query("src_11_12_parquet_round_trip", "variants", "SELECT chrom, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM variants WHERE chrom IN ('1', '7') GROUP BY chrom")
 def src_12(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "variants")
     sinks.write_variants(A.variants(spark, d), path)
@@ -262,9 +262,9 @@ def _bed(spark: SparkSession, d: str) -> DataFrame:
     return A.table(spark, d, "part").where("p_partkey % 5 = 0 AND p_partkey % 22 <> 3").selectExpr("cast(1 + p_partkey % 22 as string) chrom", "cast(p_partkey as int) start", "cast(p_partkey + p_size as int) end")
 
 
-@query("join_3_as_of", "variants", f"SELECT v.chrom, v.pos, b.s AS region_start, b.e AS region_end FROM variants v ASOF LEFT JOIN {BED} b ON v.chrom = b.chrom AND v.pos >= b.s")
+@query("join_3_as_of", "variants", f"SELECT v.chrom, v.pos, coalesce(b.s, -1) AS region_start, coalesce(b.e, -1) AS region_end FROM variants v ASOF LEFT JOIN {BED} b ON v.chrom = b.chrom AND v.pos >= b.s")
 def join_3(spark: SparkSession, d: str) -> DataFrame:
-    return joins.as_of(A.variants(spark, d).select("chrom", "pos"), _bed(spark, d))
+    return joins.as_of(A.variants(spark, d).select("chrom", "pos"), _bed(spark, d)).fillna(-1)
 
 
 @query("flt_19_valid_region", "variants", f"SELECT v.chrom, v.pos, v.chrom NOT IN (SELECT chrom FROM {BED}) OR coalesce(b.e >= v.pos, false) AS valid FROM variants v ASOF LEFT JOIN {BED} b ON v.chrom = b.chrom AND v.pos >= b.s")
