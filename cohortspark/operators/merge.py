@@ -65,42 +65,39 @@ def _positive(x: Column) -> Column:
     return F.when(x > 0, x)
 
 
-def combine(kind: Column, alt: Column, prefix: str = "") -> dict[str, Column]:
-    """A sample's reference entry and second alternates at a variant of a type.
+SECONDS = (*(f"sec_{x}" for x in BASES), "sec_del", "sec_ins")
+
+
+def combine(rows: DataFrame) -> DataFrame:
+    """Rows of a sample's numbers at a variant (type, alt, a, r, ri, nc, b_X, d, n, o) with its results.
 
     ``reference``: 1 or more, -1 for no-call, null for hom-ref (an entry of 2 isn't
-    stored); ``sec_X`` per base, ``sec_del`` and ``sec_ins``: counts or null.
+    stored); ``sec_X`` per base, ``sec_del`` and ``sec_ins``: counts or null. In steps, so
+    that no sum is written out twice.
     """
-    c = lambda name: F.coalesce(F.col(prefix + name), F.lit(0))
-    a, r, d, n, o = (c(x) for x in ("a", "r", "d", "n", "o"))
-    nc = F.coalesce(F.col(prefix + "nc"), F.lit(False))
-    b = {x: c(f"b_{x}") for x in BASES}
-    every = sum(b.values(), F.lit(0))
-    stored = lambda x: F.when(x != 2, x)
-
-    snv = F.when(r > 0, r).when(nc, -1)
-
-    more = F.greatest(o - a, F.lit(0))
-    base = F.when(o == 0, d).otherwise(0) + every
-    extra = F.when((n > 0) & (r == 0), F.when((a > 0) & (base == 0), n).when((a == 0) & (d > 0), n).otherwise(0)).otherwise(0)
-    whole = base + extra + r
-    deletion = F.when(whole > 0, whole).when(nc, -1)
-
-    # bases join the insertion's reference where the sample has nothing inserted; else the first one stands in for a missing entry
-    ri = F.col(prefix + "ri").cast("int")
-    free = F.when(ri.isNotNull() | (every > 0), F.coalesce(ri, F.lit(0)) + every)
-    kept = F.when((a == 0) & (n == 0), free).otherwise(F.coalesce(ri, *(_positive(b[x]) for x in BASES)))
-    kept = F.when(kept.isNull() & nc, F.lit(-1)).otherwise(kept)
-    added = F.when(kept == -1, r).otherwise(kept + r)
-    insertion = F.when(r > 0, F.when(kept.isNull(), r).when((a == 0) & (more == 0), added).otherwise(kept)).otherwise(kept)
-
-    is_snv, is_ins = kind == "SNV", kind == "INSERTION"
-    out = {"reference": stored(F.when(is_snv, snv).when(is_ins, insertion).otherwise(deletion))}
+    c = F.col
+    zero = {x: F.coalesce(x, F.lit(0)) for x in ("a", "r", "d", "n", "o", *(f"b_{x}" for x in BASES))}
+    rows = rows.withColumns(zero | {"ri": c("ri").cast("int"), "nc": F.coalesce("nc", F.lit(False))})
+    bases = sum((c(f"b_{x}") for x in BASES), F.lit(0))
+    rows = rows.withColumns({"_bases": bases, "_more": F.greatest(c("o") - c("a"), F.lit(0))})
+    # bases join an insertion's reference where the sample has nothing inserted; else the first one stands in for a missing entry
+    free = F.when(c("ri").isNotNull() | (c("_bases") > 0), F.coalesce("ri", F.lit(0)) + c("_bases"))
+    kept = F.when((c("a") == 0) & (c("n") == 0), free).otherwise(F.coalesce("ri", *(_positive(c(f"b_{x}")) for x in BASES)))
+    rows = rows.withColumns({"_base": F.when(c("o") == 0, c("d")).otherwise(0) + c("_bases"), "_kept": kept})
+    gains = (c("n") > 0) & (c("r") == 0) & (((c("a") > 0) & (c("_base") == 0)) | ((c("a") == 0) & (c("d") > 0)))
+    rows = rows.withColumns({"_whole": c("_base") + c("r") + F.when(gains, c("n")).otherwise(0), "_kept": F.when(c("_kept").isNull() & c("nc"), -1).otherwise(c("_kept"))})
+    snv = F.when(c("r") > 0, c("r")).when(c("nc"), -1)
+    deletion = F.when(c("_whole") > 0, c("_whole")).when(c("nc"), -1)
+    added = F.when(c("_kept") == -1, c("r")).otherwise(c("_kept") + c("r"))
+    insertion = F.when(c("r") > 0, F.when(c("_kept").isNull(), c("r")).when((c("a") == 0) & (c("_more") == 0), added).otherwise(c("_kept"))).otherwise(c("_kept"))
+    is_snv, is_ins = c("type") == "SNV", c("type") == "INSERTION"
+    rows = rows.withColumn("_entry", F.when(is_snv, snv).when(is_ins, insertion).otherwise(deletion))
+    out = {"reference": F.when(c("_entry") != 2, c("_entry")).cast("int")}
     for x in BASES:
-        out[f"sec_{x}"] = F.when(is_snv & (alt != x), _positive(b[x]))
-    out["sec_del"] = F.when(is_snv | is_ins, _positive(d)).otherwise(_positive(more))
-    out["sec_ins"] = F.when(is_snv, _positive(n)).when(is_ins, _positive(more))
-    return out
+        out[f"sec_{x}"] = F.when(is_snv & (c("alt") != x), _positive(c(f"b_{x}")))
+    out["sec_del"] = F.when(is_snv | is_ins, _positive(c("d"))).otherwise(_positive(c("_more")))
+    out["sec_ins"] = F.when(is_snv, _positive(c("n"))).when(is_ins, _positive(c("_more")))
+    return rows.withColumns(out)
 
 
 def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 1000) -> DataFrame:
@@ -117,12 +114,9 @@ def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 100
     if indexed is not None:
         rows = rows.join(indexed.select("sample_id", F.lit(True).alias("_indexed")), "sample_id", "left").withColumn("not_pass", F.col("not_pass") & F.coalesce("_indexed", F.lit(False)))
     # a column that isn't deterministic keeps the rules out of the filter below, where each use would repeat them
-    rows = rows.withColumn("_once", F.monotonically_increasing_id())
-    out = combine(F.col("type"), F.col("alt"))
-    done = rows.select("_once", *VARIANT, "type", "sample_id", F.coalesce("a", F.lit(0)).alias("a"), *(v.alias(k) for k, v in out.items()), "not_pass")
-    shown = ["reference", *(f"sec_{x}" for x in BASES), "sec_del", "sec_ins"]
-    any_ = "a > 0 OR not_pass OR " + " OR ".join(f"{c} IS NOT NULL" for c in shown)
-    return done.where(F.expr(f"_once >= 0 AND ({any_})")).drop("_once")
+    done = combine(rows.withColumn("_once", F.monotonically_increasing_id())).select("_once", *VARIANT, "type", "sample_id", "a", "reference", *SECONDS, "not_pass")
+    any_ = " OR ".join(f"{x} IS NOT NULL" for x in ("reference", *SECONDS))
+    return done.where(F.expr(f"_once >= 0 AND (a > 0 OR not_pass OR {any_})")).drop("_once")
 
 
 def slots(merged: DataFrame) -> DataFrame:
