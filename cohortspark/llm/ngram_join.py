@@ -447,6 +447,11 @@ def similar_groups(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, with all their columns."""
-    stay = materialise(similar_groups(docs).where("doc_id <=> component_id").select("doc_id").distinct(), "join-stay")
-    return docs.join(stay, docs.doc_id.eqNullSafe(stay.doc_id), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: of each component those with its id.
+
+    The ids that go are the fewer, so they are joined away. An id that stays in one
+    component stays in all; rows without an id stay.
+    """
+    stays = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = materialise(similar_groups(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(stays.alias("stays")).where("NOT stays").select("doc_id"), "join-gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
