@@ -14,6 +14,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most this many rows may be broadcast; the callers count it first.
 BROADCAST_ROWS = 10_000
+BATCH_ROWS = 1000
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -65,6 +66,18 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to send Python at most ``BATCH_ROWS`` rows at once.
+
+    The default of 10,000 rows lets batches of long texts fill a worker and its executor;
+    a session that asks for fewer rows keeps its own setting.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def freeing(run):
     """``run`` over Arrow batches, the worker's free memory returned to the system when the task ends."""
 

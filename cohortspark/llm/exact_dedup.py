@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, freeing, materialise, partitions, small
+from .common import SPACE, bounded_batches, freeing, materialise, partitions, small
 
 LEAD = 64
 OUT = "doc_id long, text_sha256 string, run_keep long, run_size long, run_pid int, run_first boolean, run_edge boolean"
@@ -36,6 +36,7 @@ def _sorted(docs: DataFrame, with_row: bool) -> DataFrame:
     plain = lambda text: F.encode(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, ""), "UTF-8")
     held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row") if with_row else plain(F.col("text")).alias("norm")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).alias("n"), held)
+    bounded_batches(docs)
     norm = plain(F.col("row.text")) if with_row else F.col("norm")
     tail = [F.col("n").desc(), F.col("doc_id").asc_nulls_last()]
     dealt = d.select("*", F.substring(norm, 1, LEAD).alias("lead"), F.xxhash64(norm).alias("h")).repartitionByRange(partitions(docs.sparkSession), "lead", "h", *tail)

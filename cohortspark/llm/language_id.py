@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import bounded_batches, remainder
 from .textbytes import SLICE, mixed, power_tables, slices
 
 MODULUS, HELD_OUT = 4, 2
@@ -240,4 +240,4 @@ def identify(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     sample = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text").orderBy("doc_id", "lang", "text").limit(SAMPLE_ROWS).collect()
     model = docs.sparkSession.sparkContext.broadcast(learn([(r[1], r[2]) for r in sample], vocabulary(name)))
-    return docs.select("doc_id", held, "text").mapInArrow(_scored(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return bounded_batches(docs).select("doc_id", held, "text").mapInArrow(_scored(model), "doc_id long, held_out boolean, lang_pred string, score double")

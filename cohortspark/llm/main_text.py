@@ -23,6 +23,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 #: Elements by what they do.
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -215,4 +217,4 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    return bounded_batches(pages).select("page_id", "url", "html").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeing, materialise, partitions
+from .common import bounded_batches, freeing, materialise, partitions
 from .components import connected_components
 from .textbytes import shingle_sets, slices
 
@@ -426,7 +426,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     sc, buckets, few = spark.sparkContext, 2 * partitions(spark), max(8, partitions(spark) // 4)
-    posted = docs.select("text").mapInArrow(freeing(_prefix_postings(buckets)), POSTINGS)
+    posted = bounded_batches(docs).select("text").mapInArrow(freeing(_prefix_postings(buckets)), POSTINGS)
     counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(partitions(spark)), POSTINGS), "join-counts")
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
     for r in counts.groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import freeing, materialise
+from .common import bounded_batches, freeing, materialise
 
 CAPACITY = 1024
 END_ID = 2
@@ -208,7 +208,7 @@ def _placed(seg: dict[str, np.ndarray], names: list[str]):
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per piece of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    made = docs.select("doc_id", "text").mapInArrow(freeing(_pieces(capacity, tokenizer)), PIECES)
+    made = bounded_batches(docs).select("doc_id", "text").mapInArrow(freeing(_pieces(capacity, tokenizer)), PIECES)
     pieces = materialise(made, "pack-pieces")
     by_task = materialise(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "pack-counts")
     histogram = by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()  # capacity rows at most

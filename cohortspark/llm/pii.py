@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "url", "account")
 ORDER = {k: i for i, k in enumerate(ALL_KINDS)}
@@ -199,4 +201,4 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, counts of the base kinds, their digest, and all spans."""
-    return docs.select("doc_id", "text").mapInArrow(_scanned, OUT)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_scanned, OUT)

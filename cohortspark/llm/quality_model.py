@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import bounded_batches, remainder
 from .textbytes import mixed, slices, word_bounds, word_hashes
 
 MODULUS = 5
@@ -67,9 +67,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     end = data[ends - 1] if len(ends) else np.zeros(0, np.uint8)
     begin = data[starts] if len(starts) else end
     h = word_hashes(data, starts, ends, lower=False)
-    grams = [h]
-    for k in (1, 2):
-        grams.append(mixed(h[: max(0, len(h) - k)] * np.uint64(2 * k + 1) + grams[-1][k:] if k == 1 else grams[-1][: max(0, len(h) - k)] * np.uint64(7) + h[k:]))
+    pairs = mixed(h[:-1] * np.uint64(3) + h[1:])
+    grams = [h, pairs, mixed(pairs[:-1] * np.uint64(7) + h[2:])]
     distinct = np.ones((3, rows))
     for i in range(rows):
         for k, g in enumerate(grams):
@@ -171,4 +170,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = seen.orderBy("y", "x").limit(SAMPLE_ROWS).collect()  # in an order that reruns keep
     trees = grow(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float))
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    return docs.select("doc_id", held, "text").mapInArrow(_scores(model), "doc_id long, held_out boolean, score double, predicted int")
+    return bounded_batches(docs).select("doc_id", held, "text").mapInArrow(_scores(model), "doc_id long, held_out boolean, score double, predicted int")

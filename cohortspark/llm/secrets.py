@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .textbytes import slices, word_bounds, word_hashes
 
 KINDS = ("assign", "access", "hex")
@@ -300,4 +301,4 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     chosen = some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     rows = some.join(F.broadcast(chosen), "doc_id").select("doc_id", "text").orderBy("doc_id", "text").limit(SAMPLE_ROWS).collect()
     model = docs.sparkSession.sparkContext.broadcast(train([r["text"] for r in rows]))
-    return docs.select("doc_id", "text").mapInArrow(_scanned(model), OUT)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_scanned(model), OUT)
