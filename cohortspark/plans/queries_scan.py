@@ -293,3 +293,53 @@ def join_8(spark: SparkSession, d: str) -> DataFrame:
 @query("gt_4_pass", "records", "SELECT coalesce(filt = 'PASS', false) AS pass, count(*) AS n FROM records GROUP BY 1")
 def gt_4(spark: SparkSession, d: str) -> DataFrame:
     return A.records(spark, d).groupBy(G.is_pass(F.col("filter")).alias("pass")).agg(F.count("*").alias("n"))
+
+
+@query("gt_9_region_lookup", "call_regions", "SELECT p AS pos, count(*) AS n FROM call_regions, unnest([100, 101, 250, 999]) u(p) WHERE rstart <= p AND p <= greatest(rstart, rend) GROUP BY 1")
+def gt_9(spark: SparkSession, d: str) -> DataFrame:
+    """Rows at given points, insertions at their start only."""
+    points = spark.createDataFrame([(p,) for p in (100, 101, 250, 999)], "pos int").withColumn("chrom", F.lit("any"))
+    return joins.point_in_range(points, A.call_regions(spark, d).withColumn("chrom", F.lit("any")), 16).groupBy("pos").agg(F.count("*").alias("n"))
+
+
+@query("join_5_cohort_semi", "calls cohorts", "SELECT gt, count(*) AS n FROM calls WHERE sample_id IN (SELECT sample_id FROM cohorts WHERE cohort = 'EUROPE') GROUP BY gt")
+def join_5(spark: SparkSession, d: str) -> DataFrame:
+    return readers.for_samples(A.calls(spark, d), A.cohorts(spark, d).where("cohort = 'EUROPE'")).groupBy("gt").agg(F.count("*").alias("n"))
+
+
+@query("snk_10_gene_summary", "variants", "SELECT transcript, max(gene) AS gene, count(*) AS n_cases FROM variants GROUP BY transcript")
+def snk_10(spark: SparkSession, d: str) -> DataFrame:
+    """Gene summaries written with Snappy and read by their schema."""
+    path = scratch(spark, "genes")
+    rows = A.variants(spark, d).groupBy("transcript").agg(F.max("gene").alias("gene"), F.array_sort(F.collect_set("pos")).alias("cases"), F.array().cast("array<int>").alias("controls"))
+    sinks.write_summary(rows, path)
+    return readers.read_table(spark, path, "gene_summary").select("transcript", "gene", F.size("cases").cast("bigint").alias("n_cases"))
+
+
+@query("snk_14_table_rewrite", "variants", "SELECT chrom, count(*) AS n FROM variants WHERE pos % 2 = 0 GROUP BY chrom")
+def snk_14(spark: SparkSession, d: str) -> DataFrame:
+    """A table rewritten with the rows to keep, chromosome by chromosome."""
+    path = scratch(spark, "rewrite")
+    v = A.variants(spark, d)
+    sinks.write_variants(v, path)
+    old = spark.read.schema(v.schema).parquet(path)
+    new = f"{path}-new"
+    sinks.write_variants(old.where("pos % 2 = 0"), new)
+    return spark.read.schema(v.schema).parquet(new).groupBy("chrom").agg(F.count("*").alias("n"))
+
+
+@query("snk_15_pruned_scan", "variants", "SELECT chrom, pos, gene, so_term FROM variants WHERE cadd_scaled >= 2 AND chrom = '4'")
+def snk_15(spark: SparkSession, d: str) -> DataFrame:
+    """Score range over sorted files: the partition is pruned and the range pushed to row groups."""
+    path = scratch(spark, "scores")
+    v = A.variants(spark, d)
+    sinks.write_variants(v, path, pos="cadd_scaled")
+    return spark.read.schema(v.schema).parquet(path).where("cadd_scaled >= 2 AND chrom = '4'").select("chrom", "pos", "gene", "so_term")
+
+
+@query("snk_5_6_study_metadata", "cohorts", "SELECT count(DISTINCT cohort) AS cohorts, count(DISTINCT sample_id) AS samples FROM cohorts")
+def snk_5(spark: SparkSession, d: str) -> DataFrame:
+    """The study's metadata as one record of two maps."""
+    samples = A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("sample_id"), F.lit("s").alias("name"))
+    one = sinks.sample_collection(samples, A.cohorts(spark, d))
+    return one.select(F.size("cohorts").cast("bigint").alias("cohorts"), F.size("samples").cast("bigint").alias("samples"))
