@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,18 +30,30 @@ def range_overlap(left: DataFrame, right: DataFrame, width: int = 1000, insertio
     return a.join(b, (F.col("chrom") == F.col("_chrom")) & (F.col("_bin") == F.col("_rbin")) & met & first).drop("_bin", "_rbin", "_chrom")
 
 
-def as_of(points: DataFrame, regions: DataFrame, pos: str = "pos") -> DataFrame:
+def carried(rows: DataFrame, value: Column, bins: DataFrame) -> DataFrame:
+    """Per (chrom, _bin) of ``bins`` the greatest ``value`` of the rows in earlier bins of the chromosome, null if none.
+
+    One row per bin goes through the chromosome's window, so no task orders its rows.
+    """
+    last = rows.groupBy("chrom", "_bin").agg(F.max(value).alias("_last"))
+    every = bins.select("chrom", "_bin").distinct().join(last, ["chrom", "_bin"], "full")
+    w = W.partitionBy("chrom").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+    return every.select("chrom", "_bin", F.last("_last", True).over(w).alias("_carried"))
+
+
+def as_of(points: DataFrame, regions: DataFrame, pos: str = "pos", width: int = 100_000) -> DataFrame:
     """Points with the last region (chrom, start, end) that starts at or before them, null if none.
 
-    A union and a running last value: one shuffle on the chromosome, no pairs. Of regions
-    with one start the longest counts.
+    A union and a running last value in each bin, and what earlier bins leave over: no
+    pairs. Of regions with one start the longest counts.
     """
-    one = regions.groupBy("chrom", "start").agg(F.max("end").alias("end"))
-    marks = one.select("chrom", F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.struct("start", "end").alias("_region"), F.lit(None).cast(points.select(F.struct("*")).schema[0].dataType).alias("_row"))
-    rows = points.select("chrom", F.col(pos).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("struct<start:int,end:int>").alias("_region"), F.struct(*points.columns).alias("_row"))
-    w = W.partitionBy("chrom").orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, 0)
-    found = marks.unionByName(rows).withColumn("_last", F.last("_region", True).over(w)).where("_kind = 1")
-    return found.select("_row.*", F.col("_last.start").alias("region_start"), F.col("_last.end").alias("region_end"))
+    one = regions.groupBy("chrom", "start").agg(F.max("end").alias("end")).withColumn("_bin", I.bin_of(F.col("start"), width))
+    rows = points.select("chrom", F.col(pos).alias("_at"), F.lit(1).alias("_kind"), I.bin_of(F.col(pos), width).alias("_bin"), F.lit(None).cast("struct<start:int,end:int>").alias("_region"), F.struct(*points.columns).alias("_row"))
+    marks = one.select("chrom", F.col("start").alias("_at"), F.lit(0).alias("_kind"), "_bin", F.struct("start", "end").alias("_region"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    w = W.partitionBy("chrom", "_bin").orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, 0)
+    found = marks.unionByName(rows).withColumn("_here", F.last("_region", True).over(w)).where("_kind = 1")
+    found = found.join(carried(one, F.struct("start", "end"), rows), ["chrom", "_bin"], "left").withColumn("_region", F.coalesce("_here", "_carried"))
+    return found.select("_row.*", F.col("_region.start").alias("region_start"), F.col("_region.end").alias("region_end"))
 
 
 def in_valid_region(points: DataFrame, regions: DataFrame, pos: str = "pos") -> DataFrame:

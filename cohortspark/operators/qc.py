@@ -6,20 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .joins import in_valid_region
+from cohortspark.functions import intervals as I
 
+from .joins import carried, in_valid_region
 
-def contiguity(positions: DataFrame, step: int = 1) -> DataFrame:
+
+def _before(positions: DataFrame, width: int) -> DataFrame:
+    """Positions with the one before: within the bin, else the last of earlier bins."""
+    rows = positions.select("chrom", "pos", I.bin_of(F.col("pos"), width).alias("_bin"))
+    here = rows.withColumn("_here", F.lag("pos").over(W.partitionBy("chrom", "_bin").orderBy("pos")))
+    return here.join(carried(rows, F.col("pos"), rows), ["chrom", "_bin"], "left").select("chrom", "pos", F.coalesce("_here", "_carried").alias("before"))
+
+
+def contiguity(positions: DataFrame, step: int = 1, width: int = 100_000) -> DataFrame:
     """Per chromosome: positions, first ones, and those that don't follow the last by ``step``."""
-    before = F.lag("pos").over(W.partitionBy("chrom").orderBy("pos"))
-    seen = positions.select("chrom", "pos", before.alias("before"))
+    seen = _before(positions, width)
     return seen.groupBy("chrom").agg(F.count("*").alias("n"), F.count_if(F.col("before").isNull()).alias("init"), F.count_if(F.col("before").isNotNull() & (F.col("pos") != F.col("before") + step)).alias("issues"))
 
 
-def gaps(positions: DataFrame, step: int = 1) -> DataFrame:
+def gaps(positions: DataFrame, step: int = 1, width: int = 100_000) -> DataFrame:
     """Missing stretches between positions that follow by ``step``."""
-    after = F.lead("pos").over(W.partitionBy("chrom").orderBy("pos"))
-    return positions.select("chrom", "pos", after.alias("after")).where(F.col("after") > F.col("pos") + step).select("chrom", (F.col("pos") + step).alias("gap_start"), (F.col("after") - step).alias("gap_end"))
+    seen = _before(positions, width).where(F.col("pos") > F.col("before") + step)
+    return seen.select("chrom", (F.col("before") + step).alias("gap_start"), (F.col("pos") - step).alias("gap_end"))
 
 
 def cleanup_report(points: DataFrame, regions: DataFrame, pos: str = "pos", group: str = "kind") -> DataFrame:

@@ -219,12 +219,12 @@ def win_4(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win_1_contiguity", "variants", "SELECT chrom, count(*) AS n, count(*) FILTER (WHERE b IS NULL) AS init, count(*) FILTER (WHERE b IS NOT NULL AND pos <> b + 22) AS issues FROM (SELECT v.chrom, v.pos, lag(v.pos) OVER (PARTITION BY v.chrom ORDER BY v.pos) b FROM variants v JOIN part ON p_partkey = pos WHERE p_size % 3 <> 0) GROUP BY chrom")
 def win_1(spark: SparkSession, d: str) -> DataFrame:
-    return qc.contiguity(_sparse(spark, d), 22)
+    return qc.contiguity(_sparse(spark, d), 22, 100)
 
 
 @query("win_1_gaps", "variants", "SELECT chrom, CAST(pos + 22 AS INT) AS gap_start, CAST(a - 22 AS INT) AS gap_end FROM (SELECT v.chrom, v.pos, lead(v.pos) OVER (PARTITION BY v.chrom ORDER BY v.pos) a FROM variants v JOIN part ON p_partkey = pos WHERE p_size % 3 <> 0) WHERE a > pos + 22")
 def win_1_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return qc.gaps(_sparse(spark, d), 22)
+    return qc.gaps(_sparse(spark, d), 22, 100)
 
 
 def _sparse(spark: SparkSession, d: str) -> DataFrame:
@@ -264,7 +264,7 @@ def _bed(spark: SparkSession, d: str) -> DataFrame:
 
 @query("join_3_as_of", "variants", f"SELECT v.chrom, v.pos, coalesce(b.s, -1) AS region_start, coalesce(b.e, -1) AS region_end FROM variants v ASOF LEFT JOIN {BED} b ON v.chrom = b.chrom AND v.pos >= b.s")
 def join_3(spark: SparkSession, d: str) -> DataFrame:
-    return joins.as_of(A.variants(spark, d).select("chrom", "pos"), _bed(spark, d)).fillna(-1)
+    return joins.as_of(A.variants(spark, d).select("chrom", "pos"), _bed(spark, d), width=100).fillna(-1)
 
 
 @query("flt_19_valid_region", "variants", f"SELECT v.chrom, v.pos, v.chrom NOT IN (SELECT chrom FROM {BED}) OR coalesce(b.e >= v.pos, false) AS valid FROM variants v ASOF LEFT JOIN {BED} b ON v.chrom = b.chrom AND v.pos >= b.s")
