@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions import intervals as I
 
 
-def point_in_range(points: DataFrame, ranges: DataFrame, width: int = 1000, insertion_aware: bool = True, pos: str = "pos", how: str = "inner") -> DataFrame:
+def point_in_range(points: DataFrame, ranges: DataFrame, width: int = 128, insertion_aware: bool = True, pos: str = "pos", how: str = "inner") -> DataFrame:
     """Points (chrom, pos) with the ranges (chrom, start, end) that hold them.
 
     A point has one bin, so each pair comes once. Insertion-aware: an insertion is met at its start only.
@@ -21,7 +21,7 @@ def point_in_range(points: DataFrame, ranges: DataFrame, width: int = 1000, inse
     return p.join(r, met, how).drop("_bin", "_rbin", "_chrom")
 
 
-def range_overlap(left: DataFrame, right: DataFrame, width: int = 1000, insertion_aware: bool = False) -> DataFrame:
+def range_overlap(left: DataFrame, right: DataFrame, width: int = 128, insertion_aware: bool = False) -> DataFrame:
     """Pairs of overlapping ranges (chrom, start, end | r_start, r_end), each once: in the first bin that both touch."""
     a = left.withColumn("_bin", F.explode(I.bins(F.col("start"), F.col("end"), width)))
     b = right.withColumn("_rbin", F.explode(I.bins(F.col("r_start"), F.col("r_end"), width))).withColumnRenamed("chrom", "_chrom")

@@ -29,7 +29,7 @@ def variant_samples(regions: DataFrame) -> DataFrame:
     return own.groupBy(*VARIANT, "sample_id").agg(F.sum("allele_count").cast("int").alias("a"))
 
 
-def position_states(points: DataFrame, regions: DataFrame, width: int = 1000) -> DataFrame:
+def position_states(points: DataFrame, regions: DataFrame, width: int = 128) -> DataFrame:
     """What each sample has at each point (chrom, pos): r, ri, nc, b_X, d, n, not_pass."""
     met = point_in_range(points, regions, width)
     n = F.col("allele_count")
@@ -48,7 +48,7 @@ def position_states(points: DataFrame, regions: DataFrame, width: int = 1000) ->
     return met.groupBy(*POINT, "sample_id").agg(*columns)
 
 
-def covering(variants: DataFrame, regions: DataFrame, width: int = 1000) -> DataFrame:
+def covering(variants: DataFrame, regions: DataFrame, width: int = 128) -> DataFrame:
     """Per variant (chrom, pos, ref, alt) and sample the count ``o`` of non-SNV variants that cover it wholly.
 
     An insertion is covered by the insertions at its position, another variant by those
@@ -100,7 +100,7 @@ def combine(rows: DataFrame) -> DataFrame:
     return rows.withColumns(out)
 
 
-def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 1000) -> DataFrame:
+def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 128) -> DataFrame:
     """Region rows to merged variants, long: one row per variant and sample that is not plainly hom-ref.
 
     chrom, pos, ref, alt, type, sample_id, a, reference, sec_A .. sec_ins, not_pass

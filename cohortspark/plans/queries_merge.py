@@ -63,7 +63,7 @@ def _regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, d: str) -> DataFrame:
-    return M.merge(_regions(spark, d), width=64)
+    return M.merge(_regions(spark, d), width=8)
 
 
 @query("cmb_1_variant_map", "records", REGIONS + " SELECT chrom, pos, ref, alt, CAST(a AS INT) AS a, count(*) AS n FROM own GROUP BY ALL")
@@ -75,7 +75,7 @@ def cmb_1(spark: SparkSession, d: str) -> DataFrame:
 def cmb_2(spark: SparkSession, d: str) -> DataFrame:
     rows = _regions(spark, d)
     points = M.variant_samples(rows).select(*M.POINT).distinct()
-    s = M.position_states(points, rows, 64)
+    s = M.position_states(points, rows, 8)
     return s.select("chrom", "pos", "sample_id", "r", F.coalesce("ri", F.lit(-9)).alias("ri"), "nc", F.col("b_A").alias("b_a"), F.col("b_G").alias("b_g"), "d", "n", F.col("not_pass").alias("np"))
 
 
@@ -89,7 +89,7 @@ def cmb_3(spark: SparkSession, d: str) -> DataFrame:
 @query("cmb_4_pass_sets", "records", REGIONS + STATE + " SELECT chrom, pos, count(*) FILTER (WHERE np) AS failed, count(*) FILTER (WHERE NOT np) AS passed FROM state GROUP BY 1, 2")
 def cmb_4(spark: SparkSession, d: str) -> DataFrame:
     rows = _regions(spark, d)
-    s = M.position_states(M.variant_samples(rows).select(*M.POINT).distinct(), rows, 64)
+    s = M.position_states(M.variant_samples(rows).select(*M.POINT).distinct(), rows, 8)
     return s.groupBy("chrom", "pos").agg(F.count_if("not_pass").alias("failed"), F.count_if(~F.col("not_pass")).alias("passed"))
 
 
@@ -102,7 +102,7 @@ def cmb_5(spark: SparkSession, d: str) -> DataFrame:
 @query("cmb_6_join_4_covering", "records", REGIONS + STATE + " SELECT chrom, pos, ref, alt, sample_id, CAST(o AS INT) AS o FROM cov")
 def cmb_6(spark: SparkSession, d: str) -> DataFrame:
     rows = _regions(spark, d)
-    return M.covering(M.variant_samples(rows).select(*M.VARIANT).distinct(), rows, 64)
+    return M.covering(M.variant_samples(rows).select(*M.VARIANT).distinct(), rows, 8)
 
 
 def _combined(kind: str):
@@ -121,14 +121,14 @@ for _name, _kind in (("cmb_7_8_11_snv", "SNV"), ("cmb_9_deletion", "DELETION"),
 def cmb_12(spark: SparkSession, d: str) -> DataFrame:
     rows = _regions(spark, d)
     indexed = rows.where("sample_id % 2 = 0").select("sample_id").distinct()
-    return M.merge(rows, indexed, 64).where("not_pass").groupBy(*M.VARIANT).agg(F.count("*").alias("n"))
+    return M.merge(rows, indexed, 8).where("not_pass").groupBy(*M.VARIANT).agg(F.count("*").alias("n"))
 
 
 @query("cmb_13_other_overlaps", "records", REGIONS + STATE + " SELECT chrom, pos, ref, alt, CAST(sum(greatest(o - a, 0)) AS BIGINT) AS more FROM x WHERE typ = 'DELETION' GROUP BY ALL")
 def cmb_13(spark: SparkSession, d: str) -> DataFrame:
     rows = _regions(spark, d)
     own = M.variant_samples(rows).where("length(ref) > 0 AND length(alt) = 0")
-    over = M.covering(own.select(*M.VARIANT).distinct(), rows, 64).join(own, [*M.VARIANT, "sample_id"], "left")
+    over = M.covering(own.select(*M.VARIANT).distinct(), rows, 8).join(own, [*M.VARIANT, "sample_id"], "left")
     return over.groupBy(*M.VARIANT).agg(F.sum(F.greatest(F.col("o") - F.coalesce("a", F.lit(0)), F.lit(0))).alias("more"))
 
 
@@ -146,7 +146,7 @@ def cmb_15(spark: SparkSession, d: str) -> DataFrame:
 @query("cmb_16_17_incremental_load", "records", REGIONS + STATE + SLOT_SQL + " SELECT slot, CAST(allele AS INT) AS allele, count(*) AS n FROM slots WHERE allele IS NOT NULL GROUP BY ALL")
 def cmb_16(spark: SparkSession, d: str) -> DataFrame:
     """Two batches of files loaded one after the other give what one load of all gives (also SNK-17/18)."""
-    engine = Engine(spark, scratch(spark, "study"), 64)
+    engine = Engine(spark, scratch(spark, "study"), 8)
     calls = A.records(spark, d)
     engine.load(calls, "first", [0, 1, 2, 3, 4])
     engine.load(calls, "second", [5, 6, 7, 8, 9])
