@@ -125,6 +125,23 @@ def test_ids_are_the_tokenizers(spark):
         assert packing.token_ids(text).tolist() == [*e.ids, packing.END_ID]
 
 
+def test_document_ids_are_the_tokenizers_by_default(spark):
+    """Default settings: an added token's string has its own id; white space without end is no failure."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "", " \t\r\n", " " * 1_000_001 + "x", "\n" * 1_000_001, "Ünïcödé 中文 𝔸"]
+    want = [[*t.encode(x, add_special_tokens=False).ids, packing.END_ID] for x in texts]
+    assert want[0] == [64, 220, 50256, 275, packing.END_ID]
+    for text, ids in zip(texts, want):
+        assert packing.document_ids(text).tolist() == ids
+    got = packing.pack(brute.documents(spark, list(enumerate(texts))))
+    for i, (n, crc) in {r.doc_id: (r.length, r.ids_crc32) for r in got.where("start = 0").collect()}.items():
+        assert n == (len(want[i]) - 1) % packing.CAPACITY + 1 and crc == zlib.crc32(np.array(want[i][:n], "<u4").tobytes())
+    assert {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == {i: len(x) for i, x in enumerate(want)}
+
+
 def test_pack_is_gapless_and_whole(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet").unionByName(edges(spark).select("doc_id", "text", "lang", "source", "n_chars").where("doc_id > 1000 OR doc_id IS NULL OR doc_id = 8"))
     got = packing.pack(docs).toPandas()
