@@ -8,7 +8,8 @@ to arrays by level, so a batch descends one level of one tree in one vector oper
 Null text counts as empty and is scored like any other. Labels that are null or not 0/1,
 and repeated labels of a document that disagree, teach nothing. Without labels of both
 kinds every score is the share of label 1 (0.5 without labels). Repeated rows are scored
-each; an empty table gives an empty table; further columns are ignored.
+each, but an id teaches once, by its row with the least statistics; an empty table gives
+an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -148,7 +149,7 @@ def _of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b, x in _of_batches(batches):
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
 
 def _scores(model):
@@ -166,8 +167,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     y = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), MODULUS) != 0))
     y = y.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("z")).where("y = z")
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select("doc_id", "y")
-    seen = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id").select("y", "text").mapInArrow(_statistics, "y int, x array<double>")
-    rows = seen.orderBy("y", "x").limit(SAMPLE_ROWS).collect()  # in an order that reruns keep
+    seen = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id").select("doc_id", "y", "text").mapInArrow(_statistics, "doc_id long, y int, x array<double>")
+    one = seen.groupBy("doc_id", "y").agg(F.min("x").alias("x"))  # SAMPLE_ROWS rows at most
+    rows = sorted(one.collect(), key=lambda r: (r["y"], r["x"]))  # in an order that reruns keep
     trees = grow(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float))
     model = docs.sparkSession.sparkContext.broadcast(trees)
     return bounded_batches(docs).select("doc_id", held, "text").mapInArrow(_scores(model), "doc_id long, held_out boolean, score double, predicted int")

@@ -322,6 +322,15 @@ def test_classifier_edges(spark):
     assert len(got) == len(EDGES) and all(r.score == 0.5 and r.predicted == 1 for r in got)
 
 
+def test_repeated_ids_do_not_crowd_out_a_label(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "SAMPLE_ROWS", 200)
+    bad = [(i, "### $$$ BUY NOW!!! " * (5 + i % 7)) for i in range(150)]
+    good = [(i, "These are plain words, in a calm sentence. " * (5 + i % 7)) for i in range(150, 300)]
+    labels = spark.createDataFrame([(i, int(i >= 150), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = quality_model.classify(brute.documents(spark, bad * 4 + good), labels).collect()
+    assert len(got) == 750 and all(r.predicted == int(r.doc_id >= 150) for r in got)
+
+
 def test_statistics_do_not_depend_on_the_batch():
     import pyarrow as pa
 
