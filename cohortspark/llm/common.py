@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,17 @@ BROADCAST_ROWS = 10_000
 BATCH_ROWS = 1000
 
 _written: list[tuple[SparkSession, str]] = []
+_paths: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir; a temporary one only in a local session where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cohortspark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -38,16 +42,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
         atexit.register(_sweep)
     _written.append((spark, path))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``materialise`` wrote and that nothing will read again."""
+    for df in tables:
+        ref, path = _paths.pop(id(df), (None, None))
+        if ref is not None and ref() is df:
+            _written[:] = [w for w in _written if w[1] != path]
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc.hadoopConfiguration()).delete(at, True)
 
 
 def _sweep() -> None:
     while _written:
-        spark, path = _written.pop()
         try:
-            jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(sc.hadoopConfiguration()).delete(at, True)
+            _delete(*_written.pop())
         except Exception:  # the session has ended; its folder belongs to the cluster
             return
 

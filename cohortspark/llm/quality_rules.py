@@ -1,15 +1,22 @@
 """Quality rules whose cut-offs come from mergeable quantile sketches per language and source.
 
-Main path: DataFrame functions only. Each metric is an integer, so its sketch is a
-histogram of unit bins of bounded number; sketches merge by adding counts. A sketch
-gives the quartiles of its group, and a document is rejected where a metric lies
-beyond the group's outer fence (quartile plus or minus ``REACH`` interquartile ranges)
-and beyond a floor, so a uniform group loses nothing. Groups of fewer than
-``LEAST_ROWS`` documents use the merged sketch of their language, or of all documents.
+Main path: DataFrame functions only. Each metric is a ratio on a logarithmic scale: words'
+characters per symbol, lines per repeated line and words per repeated word (each count and
+one more, so that a document without any says how few there can be), and characters per
+word. A sketch is a histogram of the ratio's bins, ``2 ** STEPS`` to an octave: bins are of
+bounded number for any value, their error is relative, and sketches merge by adding
+counts. The quartiles of a group set its cut-offs: a document is rejected where a metric
+lies beyond the outer fence, the quartile minus (for word length, or plus) ``REACH``
+interquartile ranges. No cut-off is fixed; a group so uniform that its quartiles hardly
+differ gets a least range (``METRICS``), and what a document has none of can't reject it.
+Groups of fewer than ``LEAST_ROWS`` documents use the merged sketch of their language, or
+of all documents.
 
 Null text counts as empty (no words: rejected by the base rule). Null languages and
-sources form groups of their own. Repeated rows each count. An empty table gives an
-empty table. Other columns are left alone; names beginning with ``_q_`` are reserved.
+sources form groups of their own. Very long texts are counted whole. Repeated rows each
+count and tied values share a bin, so alike documents of a group get one verdict. An empty
+table gives an empty table. Other columns are left alone; names beginning with ``_q_`` are
+reserved.
 """
 
 from __future__ import annotations
@@ -18,20 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import SPACE, WORD, materialise, small
+from .common import SPACE, WORD, discard, materialise, small
 
-#: Outer fence in interquartile ranges, least group, and per metric the
-#: largest bin and the floors beyond which alone a value can be rejected.
-REACH = 4
-LEAST_ROWS = 200
+#: Reach of the fences in interquartile ranges, least group, and the base rule.
+REACH = 2
+LEAST_ROWS = 50
 MIN_WORDS = 50
-METRICS = {
-    # name: (largest bin, lower floor, upper floor)
-    "symbols": (1000, -1, 100),  # symbols per thousand characters of words
-    "dup_lines": (1000, -1, 500),  # repeated lines per thousand lines
-    "repeats": (1000, -1, 300),  # words in repeated windows per thousand words
-    "word_len": (1000, 20, 150),  # tenths of characters per word
-}
+#: Bits of a value that its bin tells: 64 bins to an octave, each about a hundredth wide.
+STEPS = 6
+#: Per metric the count that has to be positive for a rejection, and the least range in bins.
+METRICS = {"symbols": ("n_symbols", 96), "dup_lines": ("n_dup_lines", 96), "repeats": ("n_repeat_words", 96), "word_len": ("n_words", 16)}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -86,17 +89,23 @@ def with_features(docs: DataFrame, *others: str) -> DataFrame:
         (F.size("_q_line_list") - F.size(F.array_distinct("_q_line_list"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_q_words")).alias("n_repeat_words"),
     )
-    per = lambda a, b, k: F.expr(f"least(1000, ({k} * {a}) div greatest(1, {b}))").cast("int")
+    ratio = lambda a, b: F.expr(f"({2**STEPS} * ({a})) div ({b})")
     return two.select(
         *keep,
         "_q_once",
         *BASE,
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
-        per("n_symbols", "word_chars", 1000).alias("_q_symbols"),
-        per("n_dup_lines", "_q_lines", 1000).alias("_q_dup_lines"),
-        per("n_repeat_words", "n_words", 1000).alias("_q_repeats"),
-        per("word_chars", "n_words", 10).alias("_q_word_len"),
-    )
+        ratio("word_chars + 1", "n_symbols + 1").alias("_q_symbols"),
+        ratio("_q_lines + 1", "n_dup_lines + 1").alias("_q_dup_lines"),
+        ratio("n_words + 1", "n_repeat_words + 1").alias("_q_repeats"),
+        ratio("word_chars", "greatest(1, n_words)").alias("_q_word_len"),
+    ).select(*keep, "_q_once", *BASE, "base_failed", *(bin_of(f"_q_{m}").alias(f"_q_{m}") for m in METRICS))
+
+
+def bin_of(v: str) -> Column:
+    """The bin of a whole number: itself below ``2 ** STEPS``, then ``2 ** STEPS`` to an octave."""
+    n = f"length(bin({v}))"
+    return F.expr(f"CASE WHEN {v} < {2**STEPS} THEN {v} ELSE {2**STEPS} * ({n} - {STEPS + 1}) + shiftright({v}, {n} - {STEPS + 1}) END").cast("int")
 
 
 def _keys() -> list[Column]:
@@ -110,54 +119,64 @@ def sketches(featured: DataFrame) -> DataFrame:
     return featured.select(*_keys(), F.explode(pairs).alias("p")).groupBy("_q_lang", "_q_source", F.col("p.m").alias("_q_m"), F.col("p.v").alias("_q_v")).agg(F.count("*").alias("_q_n"))
 
 
-def _quartiles(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Lower and upper quartile (smallest bin that reaches the rank) per key and metric."""
-    merged = sketch.groupBy(*keys, "_q_m", "_q_v").agg(F.sum("_q_n").alias("_q_n"))
-    w = W.partitionBy(*keys, "_q_m")
-    ran = merged.select(*keys, "_q_m", "_q_v", F.sum("_q_n").over(w.orderBy("_q_v").rowsBetween(W.unboundedPreceding, 0)).alias("run"), F.sum("_q_n").over(w).alias("all"))
+def quartiles(sketch: DataFrame) -> DataFrame:
+    """Size and quartiles (smallest bin that reaches the rank) of each metric, per group, per language and of all.
+
+    A level that a key isn't part of has "*" there, which no key can be.
+    """
+    level = lambda lang, source: F.struct((F.col("_q_lang") if lang else F.lit("*")).alias("_q_l"), (F.col("_q_source") if source else F.lit("*")).alias("_q_s"))
+    levels = F.explode(F.array(level(True, True), level(True, False), level(False, False))).alias("k")
+    merged = sketch.select(levels, "_q_m", "_q_v", "_q_n").groupBy("k._q_l", "k._q_s", "_q_m", "_q_v").agg(F.sum("_q_n").alias("_q_n"))
+    w = W.partitionBy("_q_l", "_q_s", "_q_m")
+    ran = merged.select("_q_l", "_q_s", "_q_m", "_q_v", F.sum("_q_n").over(w.orderBy("_q_v").rowsBetween(W.unboundedPreceding, 0)).alias("run"), F.sum("_q_n").over(w).alias("all"))
     at = lambda k: F.min(F.when(4 * F.col("run") >= k * F.col("all"), F.col("_q_v")))
-    return ran.groupBy(*keys, "_q_m").agg(F.first("all").alias(f"n_{name}"), at(1).alias(f"lo_{name}"), at(3).alias(f"hi_{name}"))
+    return ran.groupBy("_q_l", "_q_s", "_q_m").agg(F.first("all").alias("n"), at(1).alias("lo"), at(3).alias("hi"))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """Per language and source, the lowest and highest bin that pass, for each metric."""
-    own = _quartiles(sketch, ["_q_lang", "_q_source"], "own")
-    lang = _quartiles(sketch, ["_q_lang"], "lang")
-    every = _quartiles(sketch, [], "all")
-    t = own.join(lang, ["_q_lang", "_q_m"]).join(every, ["_q_m"])
-    pick = lambda x: F.when(F.col("n_own") >= LEAST_ROWS, F.col(f"{x}_own")).when(F.col("n_lang") >= LEAST_ROWS, F.col(f"{x}_lang")).otherwise(F.col(f"{x}_all"))
+def fences(levels: DataFrame) -> DataFrame:
+    """From written quartiles, per language and source: the lowest bin that passes of each metric, and the highest of word length."""
+    own = levels.where("_q_s != '*'").select(F.col("_q_l").alias("_q_lang"), F.col("_q_s").alias("_q_source"), "_q_m", "n", "lo", "hi")
+    lang = levels.where("_q_l != '*' AND _q_s = '*'").select(F.col("_q_l").alias("_q_lang"), "_q_m", *(F.col(c).alias(f"{c}_lang") for c in ("n", "lo", "hi")))
+    every = levels.where("_q_l = '*'").select("_q_m", *(F.col(c).alias(f"{c}_all") for c in ("lo", "hi")))  # a row per metric
+    t = own.join(small(lang), ["_q_lang", "_q_m"]).join(F.broadcast(every), "_q_m")
+    pick = lambda x: F.when(F.col("n") >= LEAST_ROWS, F.col(x)).when(F.col("n_lang") >= LEAST_ROWS, F.col(f"{x}_lang")).otherwise(F.col(f"{x}_all"))
     t = t.select("_q_lang", "_q_source", "_q_m", pick("lo").alias("lo"), pick("hi").alias("hi"))
-    of = lambda m, c: F.max(F.when(F.col("_q_m") == m, c))
-    spread = REACH * (F.col("hi") - F.col("lo"))
-    out = []
-    for m, (_, low, high) in METRICS.items():
-        out += [of(m, F.least(F.lit(low), F.col("lo") - spread)).alias(f"_q_min_{m}"), of(m, F.greatest(F.lit(high), F.col("hi") + spread)).alias(f"_q_max_{m}")]
-    return t.groupBy("_q_lang", "_q_source").agg(*out)
+    cuts = []
+    for m, (_, least) in METRICS.items():
+        reach = REACH * F.greatest(F.col("hi") - F.col("lo"), F.lit(least))
+        cuts.append(F.max(F.when(F.col("_q_m") == m, F.col("lo") - reach)).alias(f"_q_min_{m}"))
+    return t.groupBy("_q_lang", "_q_source").agg(*cuts, F.max(F.when(F.col("_q_m") == m, F.col("hi") + reach)).alias(f"_q_max_{m}"))
 
 
 def verdict(featured: DataFrame, fence: DataFrame) -> DataFrame:
     """``featured`` with ``kept``; the fences are joined by group (broadcast only if few)."""
     keyed = featured.select("*", *_keys())
-    inside = F.lit(True)
-    for m in METRICS:
-        inside = inside & F.col(f"_q_{m}").between(F.col(f"_q_min_{m}"), F.col(f"_q_max_{m}"))
+    inside = F.col("_q_word_len") <= F.col("_q_max_word_len")
+    for m, (count, _) in METRICS.items():
+        inside = inside & ((F.col(count) == 0) | (F.col(f"_q_{m}") >= F.col(f"_q_min_{m}")))
     joined = keyed.join(small(fence), ["_q_lang", "_q_source"])
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*featured.columns, "kept")
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*(F.col(f"`{c}`") for c in featured.columns), "kept")
+
+
+def _fences_of(featured: DataFrame) -> DataFrame:
+    """The fences of a written table: one row per language and source."""
+    levels = materialise(quartiles(sketches(featured)), "quality-quartiles")
+    fence = materialise(fences(levels), "quality-fences")
+    discard(levels)
+    return fence
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, the base counts, ``base_failed`` and ``kept``."""
     thin = materialise(with_features(docs, "doc_id", "lang", "source"), "quality-features")
-    fence = materialise(fences(sketches(thin)), "quality-fences")
-    return verdict(thin, fence).select("doc_id", *BASE, "base_failed", "kept")
+    return verdict(thin, _fences_of(thin)).select("doc_id", *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
-    sketch = materialise(sketches(with_features(docs, "lang", "source")), "quality-sketch")
-    fence = materialise(fences(sketch), "quality-fences")
+    """The rows of ``docs`` that pass, with all their columns; each text is counted once and written beside its counts."""
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_q_row"), "text", "lang", "source")
-    return verdict(with_features(held, "_q_row", "lang", "source"), fence).where("kept AND _q_once >= 0").select("_q_row.*")
+    rows = materialise(with_features(held, "_q_row", "lang", "source"), "quality-rows")
+    return verdict(rows, _fences_of(rows)).where("kept").select("_q_row.*")
 
 
 ORACLE = r"""
@@ -172,19 +191,17 @@ f AS (SELECT w.rid, doc_id, coalesce('=' || lang, '-') AS l, coalesce('=' || sou
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   coalesce(lines.n, 0) AS n_lines, CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN rep USING (rid) LEFT JOIN lines USING (rid)),
-m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  least(1000, (1000 * n_symbols) // greatest(1, word_chars)) AS m1, least(1000, (1000 * n_dup_lines) // greatest(1, n_lines)) AS m2,
-  least(1000, (1000 * n_repeat_words) // greatest(1, n_words)) AS m3, least(1000, (10 * word_chars) // greatest(1, n_words)) AS m4 FROM f),
-long AS (SELECT l, s, unnest([1, 2, 3, 4]) AS m, unnest([m1, m2, m3, m4]) AS v FROM m),
-own AS (SELECT l, s, m, count(*) AS n, quantile_disc(v, 0.25) AS lo, quantile_disc(v, 0.75) AS hi FROM long GROUP BY l, s, m),
-lang AS (SELECT l, m, count(*) AS n, quantile_disc(v, 0.25) AS lo, quantile_disc(v, 0.75) AS hi FROM long GROUP BY l, m),
-every AS (SELECT m, quantile_disc(v, 0.25) AS lo, quantile_disc(v, 0.75) AS hi FROM long GROUP BY m),
-pick AS (SELECT own.l, own.s, own.m, CASE WHEN own.n >= 200 THEN own.lo WHEN lang.n >= 200 THEN lang.lo ELSE every.lo END AS lo,
-  CASE WHEN own.n >= 200 THEN own.hi WHEN lang.n >= 200 THEN lang.hi ELSE every.hi END AS hi FROM own JOIN lang USING (l, m) JOIN every USING (m)),
-fence AS (SELECT l, s, m, least(CASE m WHEN 4 THEN 20 ELSE -1 END, lo - 4 * (hi - lo)) AS a,
-  greatest(CASE m WHEN 1 THEN 100 WHEN 2 THEN 500 WHEN 3 THEN 300 ELSE 150 END, hi + 4 * (hi - lo)) AS b FROM pick)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND m1 BETWEEN f1.a AND f1.b AND m2 BETWEEN f2.a AND f2.b AND m3 BETWEEN f3.a AND f3.b AND m4 BETWEEN f4.a AND f4.b AS kept
-FROM m JOIN fence f1 ON f1.l = m.l AND f1.s = m.s AND f1.m = 1 JOIN fence f2 ON f2.l = m.l AND f2.s = m.s AND f2.m = 2
-  JOIN fence f3 ON f3.l = m.l AND f3.s = m.s AND f3.m = 3 JOIN fence f4 ON f4.l = m.l AND f4.s = m.s AND f4.m = 4
+r AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  unnest([1, 2, 3, 4]) AS m, unnest([64 * (word_chars + 1) // (n_symbols + 1), 64 * (n_lines + 1) // (n_dup_lines + 1), 64 * (n_words + 1) // (n_repeat_words + 1), 64 * word_chars // greatest(1, n_words)]) AS v,
+  unnest([n_symbols, n_dup_lines, n_repeat_words, n_words]) AS c FROM f),
+b AS (SELECT *, CASE WHEN v < 64 THEN v ELSE 64 * (length(bin(v)) - 7) + (v >> (length(bin(v)) - 7)) END AS b FROM r),
+own AS (SELECT l, s, m, count(*) AS n, quantile_disc(b, 0.25) AS lo, quantile_disc(b, 0.75) AS hi FROM b GROUP BY l, s, m),
+lang AS (SELECT l, m, count(*) AS n, quantile_disc(b, 0.25) AS lo, quantile_disc(b, 0.75) AS hi FROM b GROUP BY l, m),
+every AS (SELECT m, quantile_disc(b, 0.25) AS lo, quantile_disc(b, 0.75) AS hi FROM b GROUP BY m),
+pick AS (SELECT own.l, own.s, own.m, CASE WHEN own.n >= 50 THEN own.lo WHEN lang.n >= 50 THEN lang.lo ELSE every.lo END AS lo,
+  CASE WHEN own.n >= 50 THEN own.hi WHEN lang.n >= 50 THEN lang.hi ELSE every.hi END AS hi FROM own JOIN lang USING (l, m) JOIN every USING (m)),
+fence AS (SELECT l, s, m, lo - 2 * greatest(hi - lo, CASE m WHEN 4 THEN 16 ELSE 96 END) AS low, CASE m WHEN 4 THEN hi + 2 * greatest(hi - lo, 16) ELSE 1000000 END AS high FROM pick)
+SELECT any_value(doc_id) AS doc_id, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols, any_value(n_dup_lines) AS n_dup_lines,
+  any_value(n_repeat_words) AS n_repeat_words, bool_or(base_failed) AS base_failed, NOT bool_or(base_failed) AND bool_and((c = 0 OR b >= low) AND b <= high) AS kept
+FROM b JOIN fence USING (l, s, m) GROUP BY rid
 """

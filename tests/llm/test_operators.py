@@ -265,14 +265,6 @@ def test_repeated_words(spark, data):
         assert got[i] == len({k + j for k, g in enumerate(grams) if g in twice for j in range(3)})
 
 
-def test_rules_edges(spark):
-    got = rows(quality_rules.quality_rules(edges(spark)))
-    assert len(got) == len(EDGES) and all(len(r) == 8 for r in got)
-    good = brute.documents(spark, [(i, " ".join(f"word{i}x{k}" for k in range(80))) for i in range(20)] + [(99, "### " * 80), (100, "short")])
-    kept = quality_rules.keep_good(good.withColumn("size", F.lit(1)))
-    assert {r.doc_id for r in kept.collect()} == set(range(20)) and "size" in kept.columns
-
-
 # --- language
 
 
