@@ -32,10 +32,10 @@ def frequency_below(maf: Column, chrom: Column, cutoff: float, x_cutoff: float)
 
 
 def stored_frequency_below(maf: Column, cutoff: float) -> Column:
-    """The scan's prefilter: a missing frequency passes."""
+    """The scan's prefilter: a missing frequency passes. As 32 bits, as it is stored, so that no cast hides the column."""
     if not 0 <= cutoff <= 1:
         raise ValueError(f"frequency cut-off outside [0, 1]: {cutoff}")
-    return maf.isNull() | (maf < F.lit(cutoff))
+    return maf.isNull() | (maf < F.lit(cutoff).cast("float"))
 
 
 def pass_rate_filter(rates: Column, chrom: Column, cutoff: float, by_chrom: dict[tuple[str, ...], float] | None = None) -> Column:
@@ -134,13 +134,32 @@ def analysis_chain(kind: str, *, oprs: Column, maf: Column, chrom: Column, bioty
     raise ValueError(f"unknown analysis: {kind}")
 
 
-def genotype_query(counts: DataFrame, wanted: dict[int, Sequence[str]]) -> Column:
-    """Predicate on variant rows with slot lists: each sample has one of its genotypes (``!`` negates).
+#: The entries that genotype tests look at, as (name, slot, allele); base second alternates are not looked at.
+ENTRIES = (("V1", "V", 1), ("V2", "V", 2), ("R1", "R", 1), ("R-1", "R", -1), ("V*_1", "*", 1), ("V*_2", "*", 2), ("V+_1", "+", 1), ("V+_2", "+", 2))
 
-    Expects the columns V1, V2, R1, R-1, V*_1, V*_2, V+_1, V+_2 as sample lists; base
-    second alternates are not looked at.
+
+def sample_entries(counts: DataFrame, samples: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """Per variant that one of ``samples`` has an entry at: which entries (``ENTRIES``) each of them has.
+
+    Of the long count table only the asked samples' rows are read and moved.
     """
-    has = lambda slot, sid: F.coalesce(F.array_contains(F.col(f"`{slot}`"), sid), F.lit(False))
+    rows = counts.where(F.col("sample_id").isin(*samples))
+    has = lambda sid, slot, allele: F.max((F.col("sample_id") == sid) & (F.col("slot") == slot) & (F.col("allele") == allele))
+    return rows.groupBy(*keys).agg(*(has(sid, slot, allele).alias(f"_has_{sid}_{name}") for sid in samples for name, slot, allele in ENTRIES))
+
+
+def entry_of(slot: str, sid: int) -> Column:
+    """Whether a sample has an entry, by the columns of ``sample_entries``."""
+    return F.coalesce(F.col(f"`_has_{sid}_{slot}`"), F.lit(False))
+
+
+def listed_entry(slot: str, sid: int) -> Column:
+    """Whether a sample has an entry, by the slot's list of samples."""
+    return F.coalesce(F.array_contains(F.col(f"`{slot}`"), sid), F.lit(False))
+
+
+def genotype_query(wanted: dict[int, Sequence[str]], has=entry_of) -> Column:
+    """Predicate on variant rows: each sample has one of its genotypes (``!`` negates); ``has`` tells its entries."""
     second = ("V*_1", "V*_2", "V+_1", "V+_2")
 
     def one(sid: int, gt: str) -> Column:
@@ -159,6 +178,12 @@ def genotype_query(counts: DataFrame, wanted: dict[int, Sequence[str]]) -> Colum
     return all_of(*(reduce(lambda a, b: a | b, [one(sid, g) for g in gts]) for sid, gts in wanted.items()))
 
 
+def with_genotypes(variants: DataFrame, counts: DataFrame, wanted: dict[int, Sequence[str]], keys: Sequence[str]) -> DataFrame:
+    """``variants`` at which each sample has one of its genotypes, by the long count table."""
+    entries = sample_entries(counts, list(wanted), keys)
+    return variants.join(entries, list(keys), "left").where(genotype_query(wanted)).select(*(F.col(f"`{c}`") for c in variants.columns))
+
+
 #: The registry of named filters that users add to.
 REGISTRY: dict[str, Column] = {}
 

@@ -1,7 +1,9 @@
 """Merging region rows into per-sample variant states, and states into variant rows.
 
 A variant's result for a sample depends on that sample's own numbers at the position
-only, so the merge is joins and column rules: no ordered sweep and no state.
+only, so the merge is one interval join, one aggregate and column rules: no ordered sweep
+and no state. Plain hom-ref rows say nothing that subtraction doesn't, so they go before
+the join; the join's bins also partition the aggregate and what follows by variant.
 
 Numbers per (variant, sample): ``a`` own alternate count, ``r`` reference count, ``nc``
 no-call, ``ri`` reference count of an insertion, ``b_X`` counts of the SNV alternates,
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions import genotype as G
 
-from .joins import point_in_range
+from .joins import binned_points, dealt, point_in_range, small
 
 BASES = ("A", "C", "T", "G")
 POINT = ["chrom", "pos"]
@@ -29,14 +31,18 @@ def variant_samples(regions: DataFrame) -> DataFrame:
     return own.groupBy(*VARIANT, "sample_id").agg(F.sum("allele_count").cast("int").alias("a"))
 
 
-def position_states(points: DataFrame, regions: DataFrame, width: int = 128) -> DataFrame:
-    """What each sample has at each point (chrom, pos): r, ri, nc, b_X, d, n, not_pass."""
-    met = point_in_range(points, regions, width)
+def plain_reference() -> Column:
+    """Rows of two reference alleles that pass: hom-ref, derived by subtraction. An insertion's reference row isn't."""
+    return (F.col("kind") == "REF") & (F.col("allele_count") == 2) & F.col("pass") & (F.col("type") != "INSERTION")
+
+
+def _state_columns() -> list[Column]:
+    """Aggregates over a sample's rows at a point."""
     n = F.col("allele_count")
     ref, var, kind = F.col("kind") == "REF", F.col("kind") == "VAR", F.col("type")
     total = lambda when: F.sum(F.when(when, n).otherwise(0)).cast("int")
     # a single reference entry of two is hom-ref and isn't kept; entries of other counts add up
-    columns = [
+    return [
         total(ref & (kind != "INSERTION") & (n != 2)).alias("r"),
         F.sum(F.when(ref & (kind == "INSERTION"), n)).cast("int").alias("ri"),
         F.max(F.col("kind") == "NOCALL").alias("nc"),
@@ -45,7 +51,11 @@ def position_states(points: DataFrame, regions: DataFrame, width: int = 128) ->
         total(var & (kind == "INSERTION")).alias("n"),
         F.max(~F.col("pass")).alias("not_pass"),
     ]
-    return met.groupBy(*POINT, "sample_id").agg(*columns)
+
+
+def position_states(points: DataFrame, regions: DataFrame, width: int = 128) -> DataFrame:
+    """What each sample has at each point (chrom, pos): r, ri, nc, b_X, d, n, not_pass."""
+    return point_in_range(points, regions, width).groupBy(*POINT, "sample_id").agg(*_state_columns())
 
 
 def covering(variants: DataFrame, regions: DataFrame, width: int = 128) -> DataFrame:
@@ -100,25 +110,56 @@ def combine(rows: DataFrame) -> DataFrame:
     return rows.withColumns(out)
 
 
-def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 128) -> DataFrame:
+def variant_keys(regions: DataFrame) -> DataFrame:
+    """The distinct variants of region rows."""
+    return regions.where("kind = 'VAR'").select("chrom", F.col("start").alias("pos"), "ref", "alt").distinct()
+
+
+def numbers(regions: DataFrame, width: int = 128, variants: DataFrame | None = None, span: int | None = None) -> DataFrame:
+    """All numbers of every (variant, sample) that has a row at the variant's position, with the position's bin.
+
+    Every row that a sample has at a position meets every variant there (all of
+    ``regions``, or ``variants``), so one aggregate finds the sample's own counts, what
+    covers the variant and the state together; its groups lie within a bin, so the join's
+    partitions serve it as they are. ``span``: see ``dealt``.
+    """
+    at = variant_keys(regions) if variants is None else variants
+    at = binned_points(at.groupBy(*POINT).agg(F.collect_set(F.struct("ref", "alt")).alias("here")), width)
+    rows = regions.select("chrom", "start", "end", "kind", F.col("ref").alias("r_ref"), "alt", "type", "allele_count", "pass", "sample_id", *(["span"] if span else []))
+    rows = dealt(rows, width, at.select("chrom", "_bin"), span)
+    met = at.join(rows, ["chrom", "_bin"]).where((F.col("start") <= F.col("pos")) & (F.col("pos") <= F.greatest("start", "end")))
+    each = met.withColumn("v", F.explode("here")).withColumn("v_end", G.end_of(F.col("pos"), F.col("v.ref")))
+    var, n = F.col("kind") == "VAR", F.col("allele_count")
+    own = var & (F.col("start") == F.col("pos")) & (F.col("r_ref") == F.col("v.ref")) & (F.col("alt") == F.col("v.alt"))
+    whole = F.when(F.col("v_end") < F.col("pos"), F.col("end") == F.col("v_end")).otherwise(F.col("end") >= F.col("v_end"))
+    over = var & (F.col("type") != "SNV") & whole & ~((F.length("v.ref") == 1) & (F.length("v.alt") == 1))
+    keys = ["chrom", "_bin", "pos", F.col("v.ref").alias("ref"), F.col("v.alt").alias("v_alt"), "sample_id"]
+    total = lambda when: F.sum(F.when(when, n)).cast("int")
+    return each.groupBy(*keys).agg(total(own).alias("a"), total(over).alias("o"), *_state_columns()).withColumnRenamed("v_alt", "alt")
+
+
+def merge(regions: DataFrame, indexed: DataFrame | None = None, width: int = 128, keep_bin: bool = False, variants: DataFrame | None = None, span: int | None = None) -> DataFrame:
     """Region rows to merged variants, long: one row per variant and sample that is not plainly hom-ref.
 
     chrom, pos, ref, alt, type, sample_id, a, reference, sec_A .. sec_ins, not_pass
     (only of ``indexed`` samples if given). A variant is emitted at its own start only.
+    ``keep_bin`` leaves the bin (``_bin``) by which the rows are partitioned. ``variants``:
+    the variants to look at instead of all that the rows have.
     """
-    own = variant_samples(regions)
-    variants = own.select(*VARIANT).distinct()
-    states = position_states(variants.select(*POINT).distinct(), regions, width)
-    rows = variants.join(states, POINT).join(own, [*VARIANT, "sample_id"], "left").join(covering(variants, regions, width), [*VARIANT, "sample_id"], "left")
-    rows = rows.withColumn("type", G.type_of_id(F.col("ref"), F.col("alt")))
+    rows = numbers(regions.where(~plain_reference()), width, variants, span).withColumn("type", G.type_of_id(F.col("ref"), F.col("alt")))
     if indexed is not None:
-        rows = rows.join(indexed.select("sample_id", F.lit(True).alias("_indexed")), "sample_id", "left").withColumn("not_pass", F.col("not_pass") & F.coalesce("_indexed", F.lit(False)))
+        rows = rows.join(small(indexed.select("sample_id", F.lit(True).alias("_indexed"))), "sample_id", "left").withColumn("not_pass", F.col("not_pass") & F.coalesce("_indexed", F.lit(False)))
     # a column that isn't deterministic keeps the rules out of the filter below, where each use would repeat them
-    done = combine(rows.withColumn("_once", F.monotonically_increasing_id())).select("_once", *VARIANT, "type", "sample_id", "a", "reference", *SECONDS, "not_pass")
+    done = combine(rows.withColumn("_once", F.monotonically_increasing_id())).select("_once", *(["_bin"] if keep_bin else []), *VARIANT, "type", "sample_id", "a", "reference", *SECONDS, "not_pass")
     any_ = " OR ".join(f"{x} IS NOT NULL" for x in ("reference", *SECONDS))
     return done.where(F.expr(f"_once >= 0 AND (a > 0 OR not_pass OR {any_})")).drop("_once")
 
 
+def by_variant(merged: DataFrame) -> list[str]:
+    """The keys that group merged rows by variant, the bin among them if it is there."""
+    return [*(["_bin"] if "_bin" in merged.columns else []), *VARIANT]
+
+
 def slots(merged: DataFrame) -> DataFrame:
     """Merged rows as the long count table: chrom, pos, ref, alt, slot, allele, sample_id."""
     entry = lambda slot, n: F.struct(F.lit(slot).alias("slot"), n.cast("int").alias("allele"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.hwe import exact_p
 
-from .merge import BASES, VARIANT
+from .joins import small
+from .merge import BASES, VARIANT, by_variant
 
 NAN = float("nan")
 
@@ -47,10 +48,10 @@ def cohort_statistics(merged: DataFrame, cohorts: DataFrame) -> DataFrame:
     no_call = F.coalesce(F.col("reference") == -1, F.lit(False)) & (F.col("_alt") == 0) & (F.col("_others") == 0)
     mentioned = ref1 | no_call | (F.col("_alt") > 0) | (F.col("_others") > 0)
     n = lambda when: F.count_if(when).cast("int")
-    g = rows.join(cohorts, "sample_id").groupBy(*VARIANT, "type", "cohort").agg(
+    g = rows.join(small(cohorts), "sample_id").groupBy(*by_variant(merged), "type", "cohort").agg(
         F.sum("_alt").cast("int").alias("alt_ac"), F.sum("_others").cast("int").alias("other_ac"), n(ref1).alias("ref1"), n(no_call).alias("no_call"), n(mentioned).alias("mentioned"), n(F.coalesce("not_pass", F.lit(False))).alias("not_pass")
     )
-    g = g.join(F.broadcast(sizes), "cohort").withColumn("num_samples", F.col("num_samples").cast("int"))
+    g = g.join(small(sizes), "cohort").withColumn("num_samples", F.col("num_samples").cast("int"))
     g = g.withColumn("ref_ac", 2 * (F.col("num_samples") - F.col("mentioned")) + F.col("ref1"))
     g = g.withColumn("total_ac", F.col("ref_ac") + F.col("alt_ac") + F.col("other_ac"))
     g = g.withColumns(frequencies(F.col("ref_ac"), F.col("total_ac"), F.col("ref"), F.col("alt"), F.col("alt_ac")))

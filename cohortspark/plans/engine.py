@@ -1,40 +1,72 @@
-"""Engine: a study's tables under one folder, loaded in batches and queried as DataFrames or SQL."""
+"""Engine: a study's tables under one folder, loaded in batches and queried as DataFrames or SQL.
+
+Tables are partitioned by chromosome, stretch of ``span`` positions and batch. A load adds
+files and rewrites none: a sample's numbers at a variant depend on that sample's rows
+alone, so a batch adds its own samples at all variants of the stretches it touches, and
+the other samples at the variants that it brings. A batch is visible once it is DONE.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.functions.genotype import type_of_id
 from cohortspark.operators import merge as M
 from cohortspark.operators import regions as R
+from cohortspark.operators.joins import small
 from cohortspark.schemas import schema
-from cohortspark.sources import sinks
 
-from .query import VariantQuery
+from .query import SLOTS, VariantQuery, slot_columns
+from .session import tune
+
+#: Positions of a stretch.
+SPAN = 1_000_000
+BIN = 128
+
+
+def span_of(pos: Column, span: int) -> Column:
+    return F.floor(pos / span).cast("int")
 
 
 class Engine:
-    """Incremental loads: region rows are appended, then the touched chromosomes are merged again."""
+    """Incremental loads into one study."""
 
-    def __init__(self, spark: SparkSession, root: str, bin_width: int = R.BIN) -> None:
-        self.spark, self.root, self.bin_width = spark, root.rstrip("/"), bin_width
+    def __init__(self, spark: SparkSession, root: str, span: int = SPAN) -> None:
+        self.spark, self.root, self.span = tune(spark), root.rstrip("/"), span
+        self.width = math.gcd(span, BIN)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _table(self, name: str) -> DataFrame:
         try:
-            return self.spark.read.parquet(self.path(name))
+            return self.spark.read.schema(schema(name)).parquet(self.path(name))
         except Exception as e:
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            if "PATH_NOT_FOUND" in str(e):
                 return self.spark.createDataFrame([], schema(name))
             raise
 
+    def _done(self) -> list[str]:
+        return [r.batch_id for r in self.batches().where("status = 'DONE'").select("batch_id").collect()]  # a row per load
+
     def regions(self) -> DataFrame:
-        return self._table("call_regions")
+        """Region rows of the batches that are DONE, each once: the copy in the stretch of its start."""
+        rows = self._table("call_regions").where(F.col("batch_id").isin(self._done()))
+        return rows.where(F.col("span") == span_of(F.least("start", "end"), self.span)).drop("span")
 
     def counts(self) -> DataFrame:
-        return self._table("variant_counts")
+        """The long count table of the batches that are DONE, without what a later batch of the same sample replaced."""
+        done = self._done()
+        rows = self._table("variant_counts").where(F.col("batch_id").isin(done))
+        old = self._table("superseded").where(F.col("by_batch").isin(done)).drop("by_batch").distinct()
+        if not old.isEmpty():
+            rows = rows.join(old, ["chrom", "span", "batch_id", "sample_id"], "left_anti")
+        return rows.select("chrom", "pos", "ref", "alt", "slot", "allele", "sample_id")
 
     def batches(self) -> DataFrame:
         """Latest status of each batch: DONE wins over RUNNING and ERROR of earlier tries."""
@@ -44,40 +76,69 @@ class Engine:
     def _mark(self, batch_id: str, file_ids: list[int], status: str) -> None:
         self.spark.createDataFrame([(batch_id, file_ids, status)], schema("load_batches")).write.mode("append").parquet(self.path("load_batches"))
 
+    def _write(self, rows: DataFrame, name: str, batch_id: str, order: str) -> None:
+        """A batch's files in the stretches it touches; a repeated try replaces its own."""
+        out = rows.withColumn("batch_id", F.lit(batch_id)).repartition("chrom", "span").sortWithinPartitions("chrom", "span", order)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chrom", "span", "batch_id").parquet(self.path(name))
+
     def load(self, calls: DataFrame, batch_id: str, file_ids: list[int]) -> bool:
         """Loads a batch once: a batch that is DONE is skipped, one that failed is written over. Returns whether it ran."""
-        if not self.batches().where((F.col("batch_id") == batch_id) & (F.col("status") == "DONE")).isEmpty():
+        if batch_id in self._done():
             return False
         self._mark(batch_id, file_ids, "RUNNING")
         try:
-            rows = R.call_regions(R.file_scan(calls, file_ids)).withColumn("bin", F.floor(F.least("start", "end") / self.bin_width).cast("int")).withColumn("batch_id", F.lit(batch_id))
-            out = rows.repartition("chrom", "bin").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            out.partitionBy("batch_id", "chrom").parquet(self.path("call_regions"))
-            self.remerge([r[0] for r in self.regions().where(F.col("batch_id") == batch_id).select("chrom").distinct().collect()])
+            rows = R.call_regions(R.file_scan(calls, file_ids))
+            ends = F.sequence(span_of(F.least("start", "end"), self.span), span_of(F.greatest("start", "end"), self.span))
+            self._write(rows.withColumn("span", F.explode(ends)), "call_regions", batch_id, "start")
+            self._merge(batch_id)
         except Exception:
             self._mark(batch_id, file_ids, "ERROR")
             raise
         self._mark(batch_id, file_ids, "DONE")
         return True
 
-    def remerge(self, chroms: list[str]) -> None:
-        """Count table of the given chromosomes anew; the others' files stay."""
-        touched = self.regions().withColumn("chrom", F.col("chrom").cast("string")).where(F.col("chrom").isin(*chroms))
-        sinks.write_variants(M.slots(M.merge(touched)), self.path("variant_counts"))
+    def _merge(self, batch_id: str) -> None:
+        """What a batch adds to the count table, in the stretches that its rows touch."""
+        new = self._table("call_regions").where((F.col("batch_id") == batch_id) & ~M.plain_reference())
+        touched: dict[str, list[int]] = {}
+        for r in new.select("chrom", "span").distinct().collect():  # stretches of the genome: some 3,000 at the default span
+            touched.setdefault(r.chrom, []).append(r.span)
+        if not touched:
+            return
+        here = reduce(lambda a, b: a | b, [(F.col("chrom") == c) & F.col("span").isin(s) for c, s in touched.items()])
+        done = self._done()
+        before = lambda name: self._table(name).where(here & F.col("batch_id").isin(done))
+        members = small(self._table("call_regions").where(F.col("batch_id") == batch_id).select("sample_id").distinct())
+        known = before("variant_keys").select(*M.VARIANT)
+        at = span_of(F.col("pos"), self.span).alias("span")
+        self._write(M.variant_keys(new).join(known, M.VARIANT, "left_anti").select(*M.VARIANT, at), "variant_keys", batch_id, "pos")
+        fresh = self._table("variant_keys").where(here & (F.col("batch_id") == batch_id)).select(*M.VARIANT)
+        told = before("call_regions").where(~M.plain_reference())
+        again = told.join(members, "sample_id", "left_semi")
+        own = M.merge(new.unionByName(again), width=self.width, variants=known.unionByName(fresh), span=self.span)
+        others = M.merge(told.join(members, "sample_id", "left_anti"), width=self.width, variants=fresh, span=self.span)
+        self._write(M.slots(own.unionByName(others)).select(*M.VARIANT, "slot", "allele", "sample_id", at), "variant_counts", batch_id, "pos")
+        old = before("variant_counts").select("sample_id", "chrom", "span", "batch_id").join(members, "sample_id", "left_semi").distinct()
+        if not again.isEmpty():
+            old.withColumn("by_batch", F.lit(batch_id)).write.mode("append").parquet(self.path("superseded"))
 
     def drop(self) -> None:
-        raise NotImplementedError("drop the study's folder with the file system's own tools")
+        """Deletes the study's tables."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path(self.root)
+        at.getFileSystem(conf).delete(at, True)
 
-    def query(self) -> VariantQuery:
-        from .query import SLOTS, slot_columns
+    def query(self, samples: Sequence[int] = ()) -> VariantQuery:
+        """A query over the study's variants, with sample lists (of ``samples`` only, if given).
 
+        Genotype tests read the entries of the asked samples only.
+        """
         counts = self.counts()
-        table = slot_columns(counts.withColumn("chrom", F.col("chrom").cast("string")), SLOTS)
-        from cohortspark.functions.genotype import type_of_id
-
-        return VariantQuery(table.withColumn("type", type_of_id(F.col("ref"), F.col("alt"))))
+        table = slot_columns(counts, SLOTS, samples)
+        return VariantQuery(table.withColumn("type", type_of_id(F.col("ref"), F.col("alt"))), counts)
 
     def register_views(self) -> None:
         """The tables as temporary views, for SQL."""
-        for name in ("call_regions", "variant_counts", "load_batches"):
-            self._table(name).createOrReplaceTempView(name)
+        self.regions().createOrReplaceTempView("call_regions")
+        self.counts().createOrReplaceTempView("variant_counts")
+        self._table("load_batches").createOrReplaceTempView("load_batches")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from cohortspark.operators import burden, filters, stats
 from cohortspark.sources import adapters as A
-from cohortspark.sources import sinks
+from cohortspark.sources import readers, sinks
 
+from .queries_scan import scratch
 from .query import VariantQuery
 from .registry import query
 
@@ -120,7 +121,19 @@ def _f(x: float) -> F.Column:
 
 @query("src_4_maf_prefilter", "calls cohorts variants", STATS + f" SELECT v.chrom, v.pos FROM variants v LEFT JOIN m ON m.chrom = v.chrom AND m.pos = v.pos AND {CONTROL} WHERE maf IS NULL OR maf < CAST(0.1 AS FLOAT)")
 def src_4(spark: SparkSession, d: str) -> DataFrame:
-    return _with_control(spark, d).where(filters.stored_frequency_below(F.col("maf"), 0.1)).select("chrom", "pos")
+    """The analysis table is written with the control's frequency as a flat, sorted column; the cut-off reaches its row groups."""
+    path = scratch(spark, "analysis")
+    sinks.write_analysis(_with_control(spark, d).select("chrom", "pos", "maf", "opr"), path)
+    return readers.frequency_scan(spark.read.schema("pos int, maf float, opr float, chrom string").parquet(path), 0.1).select("chrom", "pos")
+
+
+@query("src_4_stored_statistics", "calls cohorts", STATS + " SELECT chrom, pos, cohort, round(CAST(maf AS DOUBLE), 6) AS maf FROM m WHERE cohort = 'ASIA' AND maf < CAST(0.1 AS FLOAT)")
+def src_4b(spark: SparkSession, d: str) -> DataFrame:
+    """Cohort statistics written by cohort and chromosome, sorted by frequency, and scanned below a cut-off."""
+    path = scratch(spark, "stats")
+    sinks.write_stats(_stats(spark, d).select("chrom", "pos", "cohort", "num_samples", "ref_ac", "alt_ac", "maf", "maf_allele", "call_rate", "pass_rate", "opr"), path)
+    rows = readers.read_stats(spark, path).where((F.col("cohort") == "ASIA") & (F.col("maf") < _f(0.1)))
+    return rows.select("chrom", "pos", "cohort", F.round(F.col("maf").cast("double"), 6).alias("maf"))
 
 
 @query("flt_1_control_frequency", "calls cohorts variants", STATS + f" SELECT v.chrom, v.pos FROM variants v JOIN m ON m.chrom = v.chrom AND m.pos = v.pos AND {CONTROL} WHERE maf < CAST(CASE WHEN v.chrom IN ('X', 'chrX') THEN 0.3 ELSE 0.2 END AS FLOAT)")
@@ -243,11 +256,12 @@ def flt_16(spark: SparkSession, d: str) -> DataFrame:
     return burden.missense_share(A.variants(spark, d), F.col("so_term"))
 
 
-def _lists(spark: SparkSession, d: str) -> DataFrame:
-    """Variant rows with the analysis table's lists, from genotypes."""
-    ids = lambda when, name: F.collect_set(F.when(when, F.col("sample_id"))).alias(name)
-    g, none = F.col("gt"), F.lit(False)
-    return A.calls(spark, d).groupBy("chrom", "pos").agg(ids(g == "0/1", "V1"), ids(g == "1/1", "V2"), ids(g.isin("0/1", "0"), "R1"), ids(g == "./.", "R-1"), *(ids(none, x) for x in ("V*_1", "V*_2", "V+_1", "V+_2")))
+def _entries(spark: SparkSession, d: str) -> DataFrame:
+    """The calls as a long count table."""
+    g = F.col("gt")
+    entry = lambda when, slot, allele: F.when(when, F.struct(F.lit(slot).alias("slot"), F.lit(allele).alias("allele")))
+    every = F.array(entry(g == "0/1", "V", 1), entry(g == "1/1", "V", 2), entry(g.isin("0/1", "0"), "R", 1), entry(g == "./.", "R", -1))
+    return A.calls(spark, d).select("chrom", "pos", "sample_id", F.explode(F.filter(every, lambda x: x.isNotNull())).alias("x")).select("chrom", "pos", "x.slot", "x.allele", "sample_id")
 
 
 GENOTYPE = {"het": ("0/1",), "hom_alt": ("1/1",), "no_call": ("./.",), "hom_ref": ("0/0",), "not_het": ("!0/1",), "het_or_hom": ("0/1", "1/1")}
@@ -256,8 +270,8 @@ for _name, _gts in GENOTYPE.items():
 
     @query(f"flt_20_genotype_{_name}", "calls", f"SELECT p.chrom, p.pos FROM (SELECT DISTINCT chrom, pos FROM calls) p LEFT JOIN calls c ON c.chrom = p.chrom AND c.pos = p.pos AND c.sample_id = 7 WHERE {GENOTYPE_SQL[_name]}")
     def _flt_20(spark: SparkSession, d: str, gts: tuple[str, ...] = _gts) -> DataFrame:
-        t = _lists(spark, d)
-        return t.where(filters.genotype_query(t, {7: gts})).select("chrom", "pos")
+        every = A.calls(spark, d).select("chrom", "pos").distinct()
+        return filters.with_genotypes(every, _entries(spark, d), {7: gts}, ["chrom", "pos"])
 
 
 @query("flt_20_alleles_and_cohort", "variants calls cohorts", STATS + f" SELECT v.chrom, v.pos FROM variants v JOIN m ON m.chrom = v.chrom AND m.pos = v.pos AND {CONTROL} WHERE ref IN ('A') AND alt IN ('C', 'G')")

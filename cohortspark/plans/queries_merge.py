@@ -13,9 +13,10 @@ from cohortspark.plans.engine import Engine
 from cohortspark.sources import adapters as A
 from cohortspark.sources import sinks
 
-from .query import SLOTS, VariantQuery, slot_columns
+from .query import VariantQuery
 from .queries_scan import scratch
 from .registry import query
+from .session import tune
 
 #: Region rows of the records: their alleles, and the base that a second alternate implies.
 REGIONS = """
@@ -63,7 +64,11 @@ def _regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, d: str) -> DataFrame:
-    return M.merge(_regions(spark, d), width=8)
+    """The merge of a written region table."""
+    path = scratch(tune(spark), "regions")
+    rows = _regions(spark, d)
+    rows.write.parquet(path)
+    return M.merge(spark.read.schema(rows.schema).parquet(path), width=8, keep_bin=True)
 
 
 @query("cmb_1_variant_map", "records", REGIONS + " SELECT chrom, pos, ref, alt, CAST(a AS INT) AS a, count(*) AS n FROM own GROUP BY ALL")
@@ -146,7 +151,7 @@ def cmb_15(spark: SparkSession, d: str) -> DataFrame:
 @query("cmb_16_17_incremental_load", "records", REGIONS + STATE + SLOT_SQL + " SELECT slot, CAST(allele AS INT) AS allele, count(*) AS n FROM slots WHERE allele IS NOT NULL GROUP BY ALL")
 def cmb_16(spark: SparkSession, d: str) -> DataFrame:
     """Two batches of files loaded one after the other give what one load of all gives (also SNK-17/18)."""
-    engine = Engine(spark, scratch(spark, "study"), 8)
+    engine = Engine(spark, scratch(spark, "study"), 512)
     calls = A.records(spark, d)
     engine.load(calls, "first", [0, 1, 2, 3, 4])
     engine.load(calls, "second", [5, 6, 7, 8, 9])
@@ -253,5 +258,5 @@ def snk_4(spark: SparkSession, d: str) -> DataFrame:
 
 @query("src_19_flt_20_slot_query", "records", REGIONS + STATE + " SELECT chrom, pos, ref, alt FROM merged WHERE sample_id = 7 AND a = 2")
 def flt_20s(spark: SparkSession, d: str) -> DataFrame:
-    table = slot_columns(M.slots(_merged(spark, d)), SLOTS)
-    return VariantQuery(table).genotype({7: ("1/1",)}).select(*M.VARIANT).frame()
+    counts = M.slots(_merged(spark, d))
+    return VariantQuery(counts.select(*M.VARIANT).distinct(), counts).genotype({7: ("1/1",)}).select(*M.VARIANT).frame()

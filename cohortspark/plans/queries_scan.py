@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -19,9 +20,33 @@ from .registry import query
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A folder that all executors see: the session's checkpoint folder, a temporary one only without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="cohortspark-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder that all executors see, in the session's checkpoint folder; it goes when the process ends.
+
+    Only a local session without a checkpoint folder gets a temporary one.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="cohortspark-")
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_sweep)
+    _made.append((spark, path))
+    return path
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _sweep() -> None:
+    while _made:
+        spark, path = _made.pop()
+        try:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session has ended; its folder belongs to the cluster
+            return
 
 
 @query("src_1_file_projection", "records", "SELECT sample_id, chrom, rstart AS start, gt FROM records WHERE file_id IN (1, 3)")

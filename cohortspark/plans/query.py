@@ -14,12 +14,13 @@ from cohortspark.sources.readers import parse_region
 class VariantQuery:
     """Builder over a table of variants; each call narrows the query and returns it.
 
-    ``table`` has chrom, pos, ref, alt, type and, for genotypes, the slot lists; cohort
-    columns are named ``<cohort>_opr`` and so on.
+    ``table`` has chrom, pos, ref, alt, type; cohort columns are named ``<cohort>_opr`` and
+    so on. Genotypes are tested on the long count table ``counts``, or else on the
+    table's slot lists.
     """
 
-    def __init__(self, table: DataFrame) -> None:
-        self.table = table
+    def __init__(self, table: DataFrame, counts: DataFrame | None = None) -> None:
+        self.table, self.counts = table, counts
         self._where: list[Column] = []
         self._columns: Sequence[str] | None = None
         self._order: Sequence[str] = ()
@@ -59,7 +60,10 @@ class VariantQuery:
 
     def genotype(self, wanted: dict[int, Sequence[str]]) -> VariantQuery:
         """Samples are joined by and, a sample's genotypes by or; ``!`` negates."""
-        return self.where(filters.genotype_query(self.table, wanted))
+        if self.counts is None:
+            return self.where(filters.genotype_query(wanted, filters.listed_entry))
+        self.table = filters.with_genotypes(self.table, self.counts, wanted, ["chrom", "pos", "ref", "alt"])
+        return self
 
     def named(self, name: str) -> VariantQuery:
         """A registered filter."""
@@ -98,11 +102,12 @@ class VariantQuery:
         return self.frame().toLocalIterator()
 
 
-def slot_columns(counts: DataFrame, slots: Sequence[tuple[str, str, int]]) -> DataFrame:
-    """The long count table with a sample list per asked slot: (column, slot, allele)."""
-    aggs = [F.array_sort(F.collect_set(F.when((F.col("slot") == s) & (F.col("allele") == a), F.col("sample_id")))).alias(name) for name, s, a in slots]
+def slot_columns(counts: DataFrame, slots: Sequence[tuple[str, str, int]], samples: Sequence[int] = ()) -> DataFrame:
+    """The long count table with a sample list per asked slot: (column, slot, allele); of ``samples`` only, if given."""
+    asked = F.col("sample_id").isin(*samples) if samples else F.lit(True)
+    aggs = [F.array_sort(F.collect_set(F.when((F.col("slot") == s) & (F.col("allele") == a) & asked, F.col("sample_id")))).alias(name) for name, s, a in slots]
     return counts.groupBy("chrom", "pos", "ref", "alt").agg(*aggs)
 
 
-#: The list columns of the analysis table.
-SLOTS = (("R1", "R", 1), ("R-1", "R", -1), ("V1", "V", 1), ("V2", "V", 2), ("V*_1", "*", 1), ("V*_2", "*", 2), ("V+_1", "+", 1), ("V+_2", "+", 2))
+#: The list columns of the analysis table.
+SLOTS = filters.ENTRIES

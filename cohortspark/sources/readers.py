@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortspark.operators.filters import stored_frequency_below
 from cohortspark.schemas import schema
 
 
@@ -89,3 +90,13 @@ def reference_and_variants(reference: DataFrame, counts: DataFrame) -> DataFrame
 def for_samples(rows: DataFrame, samples: DataFrame) -> DataFrame:
     """Rows of the given samples only."""
     return rows.join(samples.select("sample_id"), "sample_id", "left_semi")
+
+
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Stored cohort statistics."""
+    return spark.read.schema(schema("variant_stats")).parquet(path)
+
+
+def frequency_scan(analysis: DataFrame, cutoff: float, frequency: str = "maf") -> DataFrame:
+    """Rows of a stored analysis table under the cut-off; a missing frequency passes. The test is on a flat column, so it is pushed."""
+    return analysis.where(stored_frequency_below(F.col(frequency), cutoff))

@@ -24,6 +24,17 @@ def write_variants(rows: DataFrame, path: str, mode: str = "overwrite", pos: str
     sorted_.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("chrom").parquet(path)
 
 
+def write_stats(stats: DataFrame, path: str) -> None:
+    """Cohort statistics by cohort and chromosome, sorted by frequency in each file, so a cut-off prunes row groups."""
+    dealt = stats.repartitionByRange("cohort", "chrom", "maf").sortWithinPartitions("cohort", "chrom", "maf")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cohort", "chrom").parquet(path)
+
+
+def write_analysis(rows: DataFrame, path: str, frequency: str = "maf") -> None:
+    """Variants with a control's frequency as a flat column, sorted by it: a map's values wouldn't be pushed to."""
+    write_variants(rows, path, pos=frequency)
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
     """Gene summaries, Snappy."""
     summary.write.mode("overwrite").option("compression", "snappy").parquet(path)
