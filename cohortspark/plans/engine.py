@@ -27,6 +27,8 @@ from .session import tune
 #: Positions of a stretch.
 SPAN = 1_000_000
 BIN = 128
+#: Folders of tables that are stored with more columns than their record type has.
+FOLDERS = {"stored_regions": "call_regions", "stored_counts": "variant_counts"}
 
 
 def span_of(pos: Column, span: int) -> Column:
@@ -41,7 +43,7 @@ class Engine:
         self.width = math.gcd(span, BIN)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{FOLDERS.get(name, name)}"
 
     def _table(self, name: str) -> DataFrame:
         try:
@@ -56,13 +58,13 @@ class Engine:
 
     def regions(self) -> DataFrame:
         """Region rows of the batches that are DONE, each once: the copy in the stretch of its start."""
-        rows = self._table("call_regions").where(F.col("batch_id").isin(self._done()))
+        rows = self._table("stored_regions").where(F.col("batch_id").isin(self._done()))
         return rows.where(F.col("span") == span_of(F.least("start", "end"), self.span)).drop("span")
 
     def counts(self) -> DataFrame:
         """The long count table of the batches that are DONE, without what a later batch of the same sample replaced."""
         done = self._done()
-        rows = self._table("variant_counts").where(F.col("batch_id").isin(done))
+        rows = self._table("stored_counts").where(F.col("batch_id").isin(done))
         old = self._table("superseded").where(F.col("by_batch").isin(done)).drop("by_batch").distinct()
         if not old.isEmpty():
             rows = rows.join(old, ["chrom", "span", "batch_id", "sample_id"], "left_anti")
@@ -89,7 +91,7 @@ class Engine:
         try:
             rows = R.call_regions(R.file_scan(calls, file_ids))
             ends = F.sequence(span_of(F.least("start", "end"), self.span), span_of(F.greatest("start", "end"), self.span))
-            self._write(rows.withColumn("span", F.explode(ends)), "call_regions", batch_id, "start")
+            self._write(rows.withColumn("span", F.explode(ends)), "stored_regions", batch_id, "start")
             self._merge(batch_id)
         except Exception:
             self._mark(batch_id, file_ids, "ERROR")
@@ -99,7 +101,7 @@ class Engine:
 
     def _merge(self, batch_id: str) -> None:
         """What a batch adds to the count table, in the stretches that its rows touch."""
-        new = self._table("call_regions").where((F.col("batch_id") == batch_id) & ~M.plain_reference())
+        new = self._table("stored_regions").where((F.col("batch_id") == batch_id) & ~M.plain_reference())
         touched: dict[str, list[int]] = {}
         for r in new.select("chrom", "span").distinct().collect():  # stretches of the genome: some 3,000 at the default span
             touched.setdefault(r.chrom, []).append(r.span)
@@ -108,17 +110,17 @@ class Engine:
         here = reduce(lambda a, b: a | b, [(F.col("chrom") == c) & F.col("span").isin(s) for c, s in touched.items()])
         done = self._done()
         before = lambda name: self._table(name).where(here & F.col("batch_id").isin(done))
-        members = small(self._table("call_regions").where(F.col("batch_id") == batch_id).select("sample_id").distinct())
+        members = small(self._table("stored_regions").where(F.col("batch_id") == batch_id).select("sample_id").distinct())
         known = before("variant_keys").select(*M.VARIANT)
         at = span_of(F.col("pos"), self.span).alias("span")
         self._write(M.variant_keys(new).join(known, M.VARIANT, "left_anti").select(*M.VARIANT, at), "variant_keys", batch_id, "pos")
         fresh = self._table("variant_keys").where(here & (F.col("batch_id") == batch_id)).select(*M.VARIANT)
-        told = before("call_regions").where(~M.plain_reference())
+        told = before("stored_regions").where(~M.plain_reference())
         again = told.join(members, "sample_id", "left_semi")
         own = M.merge(new.unionByName(again), width=self.width, variants=known.unionByName(fresh), span=self.span)
         others = M.merge(told.join(members, "sample_id", "left_anti"), width=self.width, variants=fresh, span=self.span)
-        self._write(M.slots(own.unionByName(others)).select(*M.VARIANT, "slot", "allele", "sample_id", at), "variant_counts", batch_id, "pos")
-        old = before("variant_counts").select("sample_id", "chrom", "span", "batch_id").join(members, "sample_id", "left_semi").distinct()
+        self._write(M.slots(own.unionByName(others)).select(*M.VARIANT, "slot", "allele", "sample_id", at), "stored_counts", batch_id, "pos")
+        old = before("stored_counts").select("sample_id", "chrom", "span", "batch_id").join(members, "sample_id", "left_semi").distinct()
         if not again.isEmpty():
             old.withColumn("by_batch", F.lit(batch_id)).write.mode("append").parquet(self.path("superseded"))
 

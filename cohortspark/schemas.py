@@ -13,9 +13,11 @@ SEC_ALT = "struct<start:int,end:int,ref:string,alt:string,type:string>"
 CALLS = f"sample_id int, file_id int, chrom string, start int, end int, ref string, alt string, type string, sec_alts array<{SEC_ALT}>, gt string, dp int, ad array<int>, filter string"
 SAMPLES = "sample_id int, name string, indexed boolean"
 COHORTS = "cohort string, sample_id int"
-CALL_REGIONS = "start int, end int, kind string, ref string, alt string, type string, allele_count int, depth int, pass boolean, sample_id int, chrom string, span int, batch_id string"
+CALL_REGIONS = "chrom string, start int, end int, kind string, ref string, alt string, type string, allele_count int, depth int, pass boolean, sample_id int"
+STORED_REGIONS = f"{CALL_REGIONS}, span int, batch_id string"
 VARIANT_KEYS = "pos int, ref string, alt string, chrom string, span int, batch_id string"
-VARIANT_COUNTS = "pos int, ref string, alt string, slot string, allele int, sample_id int, chrom string, span int, batch_id string"
+VARIANT_COUNTS = "chrom string, pos int, ref string, alt string, slot string, allele int, sample_id int"
+STORED_COUNTS = f"{VARIANT_COUNTS}, span int, batch_id string"
 SUPERSEDED = "sample_id int, chrom string, span int, batch_id string, by_batch string"
 VARIANT_STATS = "chrom string, pos int, ref string, alt string, cohort string, num_samples int, ref_ac int, alt_ac int, maf float, maf_allele string, mgf float, hwe float, call_rate float, pass_rate float, opr float, gt_counts map<string,int>"
 GENE_SUMMARY = "gene string, transcript string, cases array<int>, controls array<int>"
@@ -30,7 +32,7 @@ ALLELE_VARIANT = f"chromosome string, start int, end int, reference string, alte
 SAMPLE_COLLECTION = "samples map<string,string>, cohorts map<string,array<int>>"
 LOAD_BATCHES = "batch_id string, file_ids array<int>, status string"
 
-NAMES = ("calls", "samples", "cohorts", "call_regions", "variant_keys", "variant_counts", "superseded", "variant_stats", "gene_summary", "allele_variant", "sample_collection", "load_batches")
+NAMES = ("calls", "samples", "cohorts", "call_regions", "stored_regions", "variant_keys", "variant_counts", "stored_counts", "superseded", "variant_stats", "gene_summary", "allele_variant", "sample_collection", "load_batches")
 
 
 def schema(name: str) -> T.StructType:
