@@ -115,3 +115,9 @@ def freeing(run):
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tasks_for(df: DataFrame, size: int) -> int:
+    """Pieces of ``size`` bytes that the input of ``df`` makes by the optimiser's estimate; 1 where it has none."""
+    found = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return -(-found // size) if found < 1 << 60 else 1

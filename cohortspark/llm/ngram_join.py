@@ -5,9 +5,11 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 
 1. Bound. In any fixed order of shingles, documents with a large enough overlap share about
    ``l`` of their first ``|x| - ceil(0.75|x|) + l`` shingles. Postings of those
-   prefixes (hash order) are sent to ranges of hash space as packed arrays, and a
-   document goes on only if enough of its prefix occurs elsewhere. Survivors are marked
-   in a Bloom filter of fixed size (false marks cost time, not results).
+   prefixes (hash order) are sent to ranges of hash space as packed arrays, as many as
+   the input's size asks for, and a document goes on only if enough of its prefix occurs
+   elsewhere. A task counts the shingles that two of its own documents have by itself
+   and sends each once, so a shingle of very many documents fills no range. Survivors are
+   marked in a Bloom filter of fixed size (false marks cost time, not results).
 2. Blocks. Among the survivors every shingle is counted exactly: a document needs enough
    shingles that others have, and with the rarest first a prefix of those, often one or
    two, must meet any partner's. Documents that share a prefix shingle form a group,
@@ -17,8 +19,10 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    long lists are set aside, the short ones heap-merged, and candidates probed in the long
    ones (DivideSkip; a block's lists being short, all probes of a candidate are one
    operation on bit sets). Documents already connected need no further probe.
-4. Rest. Where the blocks of a group stay apart, every document outside the group's
-   largest part is searched against all blocks of the group, pair of blocks by pair.
+4. Rest. Where the blocks of a group stay apart, the documents outside the group's
+   largest part are dealt into chunks, and a chunk is searched against those members of
+   the group that share a prefix shingle with it, block by block: a group that hangs
+   together by a chain of shared shingles costs what its links of the chain cost.
 
 Null and blank texts have no set and no link. Repeated rows and equal sets form one
 component. A component's id is its smallest doc_id; null ids are passed over. An empty
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, freeing, materialise, partitions
+from .common import bounded_batches, discard, freeing, materialise, partitions, tasks_for
 from .components import connected_components
 from .textbytes import shingle_sets, slices
 
@@ -46,7 +50,8 @@ BLOCK = 64
 #: Bits of the survivors' filter.
 BLOOM_BITS = 26
 FLUSH = 1_000_000
-N_BITS = 24
+#: Bytes of input that a range of postings comes from, at most.
+RANGE_BYTES = 16 << 20
 POSTINGS = "bucket int, a binary, b binary"
 U64 = np.uint64
 
@@ -75,21 +80,17 @@ def linked(overlap: int, n: int, m: int) -> bool:
 
 
 def _node(tokens: np.ndarray) -> int:
+    """Name of a set: 64 bits of a hash, so two of ten billion sets share one with a chance of some 3 in 1000."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _mark(node: int, n: int) -> int:
-    """Leading bits of the node with the size behind them, unsigned."""
-    return (node & 0xFFFFFFFFFF000000) | min(n, (1 << N_BITS) - 1)
-
-
 def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return (((keys >> U64(40)) * U64(n)) >> U64(24)).astype(np.int32)
 
 
-def _scatter(keys: np.ndarray, values: np.ndarray, n: int) -> pa.RecordBatch:
-    """Pairs packed by range of the key."""
-    b = _bucket(keys, n)
+def _scatter(keys: np.ndarray, values: np.ndarray, n: int, behind: int = 0) -> pa.RecordBatch:
+    """Pairs packed by range of the key; ranges are numbered from ``behind``."""
+    b = _bucket(keys, n) + np.int32(behind)
     order = np.argsort(b, kind="stable")
     b, keys, values = b[order], keys[order], values[order]
     first = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
@@ -102,28 +103,51 @@ def _flat(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+#: Marks that stand for "several sets of one task"; no set has them.
+SEVERAL = (0, 1)
+COUNT = np.dtype([("n", "<i4"), ("c", "<i4")])
+
+
 def _prefix_postings(buckets: int):
-    """Texts to postings (shingle, mark) of their prefixes; an equal set counts once in a task."""
+    """Texts to postings (shingle, mark) of their prefixes, and to counts of marks (in ``buckets`` ranges behind those).
+
+    A set is posted once in a task. Of a shingle that several sets of the task have, the
+    task counts it for each and posts that there are several.
+    """
+
+    def flush(keys: list[np.ndarray], marks: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), list(map(len, keys)))
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n = np.diff(np.r_[starts, len(key)])
+        single = np.repeat(n == 1, n)
+        shared = key[starts[n > 1]]
+        yield _scatter(np.concatenate([key[single], shared, shared]), np.concatenate([marks[owner[single]], np.full(len(shared), SEVERAL[0], U64), np.full(len(shared), SEVERAL[1], U64)]), buckets)
+        counts = np.empty(len(marks), COUNT)
+        counts["n"], counts["c"] = sizes, np.bincount(owner[~single], minlength=len(marks))
+        yield _scatter(marks, counts, buckets, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, marks, held = [], [], 0
+        keys, marks, sizes, held = [], [], [], 0
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 for tokens in shingle_sets(data, offsets, WIDTH):
                     n = len(tokens)
-                    if not n or (mark := _mark(_node(tokens), n)) in seen:
+                    if not n or (mark := max(len(SEVERAL), _node(tokens) & 0xFFFFFFFFFFFFFFFF)) in seen:
                         continue
                     seen.add(mark)
                     p = n - least_overlap(n) + extra(n)
                     keys.append(tokens[:p])
-                    marks.append(np.full(p, mark, U64))
+                    marks.append(mark)
+                    sizes.append(n)
                     held += p
-                if held > FLUSH:
-                    yield _scatter(np.concatenate(keys), np.concatenate(marks), buckets)
-                    keys, marks, held = [], [], 0
+                if held > max(FLUSH, 64 * buckets):
+                    yield from flush(keys, np.array(marks, U64), np.array(sizes, np.int32))
+                    keys, marks, sizes, held = [], [], [], 0
         if keys:
-            yield _scatter(np.concatenate(keys), np.concatenate(marks), buckets)
+            yield from flush(keys, np.array(marks, U64), np.array(sizes, np.int32))
 
     return run
 
@@ -140,22 +164,34 @@ def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _shared_counts(buckets: int):
-    """Postings of a range to (mark, number of its shingles that others have)."""
+    """Postings of a range to counts of marks: how many of the range's shingles others have too. Counts pass through."""
 
     def run(table: pa.Table) -> pa.Table:
+        if (first := table.column("bucket")[0].as_py()) >= buckets:
+            return table.set_column(0, "bucket", pa.array(np.full(len(table), first - buckets, np.int32)))
         _, marks, _, n = _runs(_flat(table.column("a"), U64), _flat(table.column("b"), U64))
         found, count = np.unique(marks[np.repeat(n > 1, n)], return_counts=True)
-        return pa.Table.from_batches([_scatter(found, count.astype(np.int32), buckets)])
+        found, count = found[np.searchsorted(found, len(SEVERAL)) :], count[np.searchsorted(found, len(SEVERAL)) :]
+        out = np.zeros(len(found), COUNT)
+        out["c"] = count
+        return pa.Table.from_batches([_scatter(found, out, buckets)])
 
     return run
 
 
 def _survivor_bits(table: pa.Table) -> pa.Table:
-    """Counts of a range of marks to the filter's words: which bits of which word are set."""
-    marks, counts = _flat(table.column("a"), U64), _flat(table.column("b"), np.int32)
+    """Counts of a range of marks to the filter's words: which bits of which word are set.
+
+    A set of several tasks has its size and a count of its own from each; the greatest is
+    taken, and what the ranges found is added, so no set is counted short.
+    """
+    marks, counts = _flat(table.column("a"), U64), _flat(table.column("b"), COUNT)
     found, at = np.unique(marks, return_inverse=True)
-    total = np.bincount(at, counts, len(found))
-    size = (found & U64((1 << N_BITS) - 1)).astype(np.int64)
+    size, own = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+    told = counts["n"] > 0
+    np.maximum.at(size, at[told], counts["n"][told])
+    np.maximum.at(own, at[told], counts["c"][told])
+    total = own + np.bincount(at[~told], counts["c"][~told], len(found)).astype(np.int64)
     bits = (found[total >= np.maximum(1, sure(size))] >> U64(64 - BLOOM_BITS)).astype(np.int64)
     words, at = np.unique(bits >> 6, return_inverse=True)
     value = np.zeros(len(words), U64)
@@ -393,8 +429,15 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("deal").applyInArrow(lambda t: _search_blocks(t), "u long, v long")
 
 
+def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, prefix) to a row per shingle of the prefix."""
+    for b in batches:
+        sets = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), [len(x) for x in sets])), pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))], names=["node", "token"])
+
+
 def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between ``nodes`` (node, n, tokens) that connect what all links would; ``groups``: (node, label)."""
+    """Links between ``nodes`` (node, n, tokens, prefix) that connect what all links would; ``groups``: (node, label)."""
     salted = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"]
     size = groups.groupBy("label").agg(F.count("*").alias("m"), F.array_distinct(F.array(*map(salted, range(3)))).alias("pivots"))
     size = materialise(size.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "join-sizes")
@@ -414,30 +457,39 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     main = materialise(main.withColumn("chunks", F.ceil(F.col("outside") / BLOCK).cast("int")), "join-rest")
     if main.isEmpty():
         return found
-    left = large.join(main, "label")
-    every = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    outside = left.where("part != main").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = every.select("label", "block", "chunk", "node", "part").unionByName(outside.select("label", "block", "chunk", "node", "part"))
-    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", "chunk", "node", "part", F.lit(False).alias("pivot"), "n", "tokens")
+    left = large.join(main, "label").join(counted, ["label", "part"])
+    # a part's documents are alike, so they share a chunk; a large part is dealt over several
+    some = F.pmod(F.xxhash64("part"), F.col("chunks")) * F.lit(1 << 20) + F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("c") / BLOCK))
+    left = materialise(left.select("label", "node", "part", "block", F.when(F.col("part") != F.col("main"), some).alias("chunk")), "join-left")
+    token = nodes.select("node", "prefix").join(left, "node", "left_semi").mapInArrow(_prefix_tokens, "node long, token long")
+    posted = materialise(token.join(left, "node"), "join-posted")
+    asked = posted.where("chunk IS NOT NULL").select("label", "token", F.col("chunk").alias("asks")).distinct()
+    met = materialise(posted.join(asked, ["label", "token"]).select("label", "asks", "block", "node", "part").distinct(), "join-met")
+    ask = left.where("chunk IS NOT NULL").select("label", F.col("chunk").alias("asks"), "node", "part")
+    asking = ask.join(met.select("label", "asks", "block").distinct(), ["label", "asks"])
+    pairs = met.unionByName(asking.select(*met.columns)).distinct()
+    more = nodes.join(pairs, "node").select(F.col("label").alias("comp"), "block", F.col("asks").alias("chunk"), "node", "part", F.lit(False).alias("pivot"), "n", "tokens")
     return found.unionByName(materialise(_blocks(more), "join-links"))
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    sc, buckets, few = spark.sparkContext, 2 * partitions(spark), max(8, partitions(spark) // 4)
+    sc, few = spark.sparkContext, max(8, partitions(spark) // 4)
+    buckets = max(2 * partitions(spark), tasks_for(docs, RANGE_BYTES))
+    dealt = lambda t: t.repartition(max(partitions(spark), buckets // 2), "bucket").groupBy("bucket")
     posted = bounded_batches(docs).select("text").mapInArrow(freeing(_prefix_postings(buckets)), POSTINGS)
-    counts = materialise(posted.groupBy("bucket").applyInArrow(_shared_counts(partitions(spark)), POSTINGS), "join-counts")
+    counts = materialise(dealt(posted).applyInArrow(_shared_counts(buckets), POSTINGS), "join-counts")
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
-    for r in counts.groupBy("bucket").applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
+    for r in dealt(counts).applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
         np.bitwise_or.at(bloom, np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], U64))
+    discard(counts)
     rows = materialise(docs.select("doc_id", "text").mapInArrow(freeing(_nodes(sc.broadcast(bloom))), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
     marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
-    counted = marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS).groupBy("bucket").applyInArrow(_document_counts(partitions(spark)), POSTINGS)
-    shared = counted.groupBy("bucket").applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
+    counted = dealt(marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS)).applyInArrow(_document_counts(buckets), POSTINGS)
+    shared = dealt(counted).applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
     nodes = materialise(shared, "join-sets")
     near = nodes.select("node", "prefix").mapInArrow(freeing(_rare_postings(few)), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
-    nodes = nodes.drop("prefix")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")
     least = materialise(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("d")), "join-least")
     of_label = least.join(labels, "node").groupBy("label").agg(F.min("d").alias("c"))
@@ -454,4 +506,4 @@ def representatives(docs: DataFrame) -> DataFrame:
     """
     stays = F.max(F.col("doc_id") == F.col("component_id"))
     gone = materialise(similar_groups(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(stays.alias("stays")).where("NOT stays").select("doc_id"), "join-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
