@@ -8,12 +8,15 @@ validate what they find:
   that don't overlap, per kind, then dropped if invalid;
 - ``url``: an address that names a person or account (mail scheme, user before the host,
   or a query that holds an email);
-- ``account``: after a cue (IBAN, account, passport, ...), a code of ``CODE_LEAST``
-  characters or more, at least half of them digits; an IBAN must pass its checksum.
-
-Null and empty texts have no span. Repeated rows are scanned each, whole texts of any
-length; an empty table gives an empty table; further columns are ignored. Offsets count
-code points, ends exclusive.
+- ``account``: after a cue (IBAN, account, passport, ...), a code of ``CODE_LEAST`` to
+  ``CODE_MOST`` characters, at least half of them digits; an IBAN must pass its checksum.
+
+A parser looks at the characters up to the next anchor of its kind or at a bounded
+number of them, so a text's time is in proportion to its length. Null and empty texts
+have no span. Repeated rows and ids are scanned each, null ids stay null, whole texts of
+any length; an empty table gives an empty table; further columns are ignored. Offsets
+count code points, ends exclusive; of spans with one start the kind listed first comes
+first.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from .common import bounded_batches
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "url", "account")
 ORDER = {k: i for i, k in enumerate(ALL_KINDS)}
-CODE_LEAST, CODE_GAP = 6, 3
+CODE_LEAST, CODE_MOST, CODE_GAP = 6, 34, 3
+URL_MOST, SCHEME_MOST = 2048, 32
 #: Cues and schemes.
 CUES = ("iban", "account", "acct", "passport", "konto", "kontonummer", "compte", "cuenta", "ssn", "social security", "tax id", "national id")
 SCHEMES = ("mailto:", "://")
@@ -41,8 +45,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_URL = re.compile(r"[^\s\"'<>()\[\]{}|]+")
-_CODE = re.compile(r"(?:\s*(?:no|number|nr|n°|num)\b\.?)?[\s:#=.-]{0,%d}([A-Za-z0-9](?:[ -]?[A-Za-z0-9])*)" % CODE_GAP, re.I)
+_URL = re.compile(r"[^\s\"'<>()\[\]{}|]{1,%d}" % URL_MOST)
+_LEAD = re.compile(r"(?:\s{0,%d}(?:no|number|nr|n°|num)\b\.?)?[\s:#=.-]{0,%d}" % (CODE_GAP, CODE_GAP), re.I)
+_CODE = re.compile(r"[A-Za-z0-9]{1,%d}+(?:[ -][0-9]{1,%d}+){0,%d}(?![A-Za-z0-9])" % (CODE_MOST, CODE_MOST, CODE_MOST))
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
 
 
 def automaton():
@@ -122,7 +128,7 @@ def _url(text: str, start: int, end: int) -> tuple[int, int] | None:
     """The address around a scheme anchor, if it names a person."""
     s = start
     if text[start:end] == "://":
-        while s > 0 and (text[s - 1].isalnum() or text[s - 1] in "+.-"):
+        while s > max(0, start - SCHEME_MOST) and (text[s - 1].isalnum() or text[s - 1] in "+.-"):
             s -= 1
         if s == start:
             return None
@@ -142,20 +148,18 @@ def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
     """The code behind a cue that stands as a word."""
     if start and text[start - 1].isalnum() or end < len(text) and text[end].isalpha():
         return None
-    m = _CODE.match(text, end)
-    if not m:
-        return None
+    at = _LEAD.match(text, end).end()
     if text[start:end].lower() == "iban":
-        code = re.match(r"[A-Za-z]{2}[0-9]{2}(?:[ ]?[A-Za-z0-9]){11,30}", m[1])
-        while code and not _iban(code[0]) and " " in code[0].strip():
-            shorter = code[0].strip().rpartition(" ")[0]
-            code = re.match(re.escape(shorter), m[1]) if len(shorter) > 14 else None
-        return (m.start(1), m.start(1) + len(code[0])) if code and _iban(code[0]) else None
-    code = re.match(r"[A-Za-z0-9]+(?:[ -][0-9]+)*", m[1])[0]
-    plain = re.sub(r"[ -]", "", code)
-    if len(plain) < CODE_LEAST or 2 * len(_digits(plain)) < len(plain):
+        code = _IBAN.match(text, at)
+        code = code[0] if code else ""
+        while code and not _iban(code):
+            code = code.rpartition(" ")[0]
+        return (at, at + len(code)) if code else None
+    m = _CODE.match(text, at)
+    plain = re.sub(r"[ -]", "", m[0]) if m else ""
+    if not CODE_LEAST <= len(plain) <= CODE_MOST or 2 * len(_digits(plain)) < len(plain):
         return None
-    return m.start(1), m.start(1) + len(code)
+    return at, m.end()
 
 
 def scan(text: str | None, anchors) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

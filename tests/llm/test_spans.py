@@ -1,0 +1,61 @@
+"""Personal data and secrets: added spans, time, edges."""
+
+from __future__ import annotations
+
+import random
+import time
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from cohortspark.llm import pii, secrets
+
+DOCS = "/root/testdata/sf0.01/documents.parquet"
+
+
+def added(text):
+    return [(k, text[s:e]) for s, e, k in pii.scan(text, pii.automaton())[1]]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("IBAN DE89 3704 0044 0532 0130 00 thanks", [("account", "DE89 3704 0044 0532 0130 00")]),
+    ("iban: GB82WEST12345698765432, ok", [("account", "GB82WEST12345698765432")]),
+    ("IBAN DE89 3704 0044 0532 0130 01", []),
+    ("Account no. 12-3456-789 and konto 4711", [("account", "12-3456-789")]),
+    ("passport C01X00T478 was lost", [("account", "C01X00T478")]),
+    ("account holder name and number", []),
+    ("the account 2020 was closed in 2021", [("account", "2020")][:0]),
+    ("SSN: 078-05-1120.", [("account", "078-05-1120")]),
+    ("account " + "1 " * 60, []),
+    ("mailto:joe@example.org and https://joe@host.org/x?y=1.", [("url", "mailto:joe@example.org"), ("url", "https://joe@host.org/x?y=1")]),
+    ("https://example.org/u?mail=joe%40example.org&x=2 http://example.org/page", [("url", "https://example.org/u?mail=joe%40example.org&x=2")]),
+    ("bankaccount 12345678, accounts 12345678", []),
+])
+def test_added_spans(text, want):
+    assert added(text) == want
+
+
+@pytest.mark.parametrize("piece", ["account ", "account 1 ", "iban ", "a@", "a@b-", "1.", "1 ", "+1 (", "+", "://", "http://a", "account no: ", "konto 12345678 "])
+def test_time_is_in_proportion(piece):
+    found = pii.automaton()
+    took = []
+    for n in (6_000, 48_000):
+        text = piece * n
+        began = time.perf_counter()
+        pii.scan(text, found)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 0.4 or took[1] < 20 * took[0], took
+
+
+def test_personal_edge_values(spark):
+    """Nulls, blanks, very long texts, ties, repeated rows and clashing names."""
+    text = "joe@example.org, +49 (0)30 123456, 10.0.0.1, 4111 1111 1111 1111"
+    long = "é " * 300_000 + text
+    docs = brute.documents(spark, [(1, None), (2, ""), (3, " \n"), (4, text), (4, text), (None, text), (5, long)]).withColumns({c: F.lit("x") for c in ("spans", "n_email", "a.b")})
+    got = sorted((tuple(r) for r in pii.find_personal_data(docs).collect()), key=str)
+    one = lambda t: (1, 1, 1, 1, brute.digest(brute.personal(t)), ",".join(f"{k}:{s}:{e}" for s, e, k in brute.personal(t)))
+    none = (0, 0, 0, 0, brute.digest([]), "")
+    want = [(1, *none), (2, *none), (3, *none), (4, *one(text)), (4, *one(text)), (None, *one(text)), (5, *one(long))]
+    assert got == sorted(want, key=str) and brute.personal(long)[0][0] == 600_000
+    assert pii.find_personal_data(docs.where("false")).count() == 0
