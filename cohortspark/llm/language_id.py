@@ -1,18 +1,22 @@
 """Language identification by unigram pieces, all segmentations summed.
 
 The vocabulary is a fixed public piece list. For each language a probability per piece
-is learned by expectation maximisation from words of a bounded sample of labelled
-documents (``SAMPLE_ROWS`` rows, those with the smallest hash of their id). A word's
-probability is the sum over all ways to cut it into pieces (forward algorithm), a
-text's the product over all its words; the score is the posterior under equal priors.
+is learned by expectation maximisation from all words of a bounded sample of labelled
+documents (of each language the ``SAMPLE_ROWS`` rows with the smallest hash of their id,
+so a rare language teaches too). A word's probability is the sum over all ways to cut it
+into pieces (forward algorithm), however long it is; a text's is the product over all its
+words, and the score is the posterior under equal priors.
 
 Text that is null or has no letter is ``und`` with score 0, as is every text if no row
-has a language to learn from. Repeated rows count each; an empty table gives an empty
+has a language to learn from; of languages alike in probability the first in order wins.
+Null ids stay null. Repeated rows are scored each, but an id teaches once, by the least
+of its rows; very long texts and words are summed whole; an empty table gives an empty
 table; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,14 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from .common import bounded_batches, remainder
+from .common import bounded_batches, remainder, small
 from .textbytes import SLICE, mixed, power_tables, slices
 
 MODULUS, HELD_OUT = 4, 2
-SAMPLE_ROWS = 1200
-#: Distinct words of a language that the estimation uses, the most frequent first, and its rounds.
-TRAIN_WORDS = 12_000
+SAMPLE_ROWS = 300
 ROUNDS = 2
 SMOOTH = 0.05
 #: Probability of a character that no piece holds.
@@ -36,8 +39,8 @@ UNKNOWN = 1e-9
 CHUNK = 1 << 14
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"
-#: Characters of a word that are scored together; longer words are cut there.
-SPAN = 32
+#: Characters of a string up to which a sum of products is certain not to vanish; longer ones are scaled as they go.
+SHORT = 32
 
 
 def vocabulary(name: str = VOCABULARY) -> list[str]:
@@ -53,34 +56,45 @@ def letters(word: str) -> str:
     return word.lower() if word.isalpha() else "".join(filter(str.isalpha, word)).lower()
 
 
-def parts(word: str) -> list[str]:
-    """The strings that are segmented: the word behind its start mark, cut if very long."""
-    w = START + word
-    return [w] if len(w) <= SPAN else [w[i : i + SPAN] for i in range(0, len(w), SPAN)]
+def _edges(text: str, probability: dict[str, float], longest: int) -> list[tuple[int, int, float, str | None]]:
+    """The pieces of ``text`` by start and end, a character that no piece holds as unknown."""
+    out = []
+    for i in range(len(text)):
+        own = [(i, j, p, text[i:j]) for j in range(i + 1, min(len(text), i + longest) + 1) if (p := probability.get(text[i:j])) is not None]
+        out += own if own and own[0][1] == i + 1 else [(i, i + 1, UNKNOWN, None), *own]
+    return out
+
+
+def _log_add(a: float, b: float) -> float:
+    low, high = (a, b) if a < b else (b, a)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
 
 
 def _expected(words: Counter, probability: dict[str, float], longest: int) -> dict[str, float]:
     """Expected piece counts of one language's words, by forward and backward sums."""
     out: dict[str, float] = {}
-    get = probability.get
     for word, count in words.items():
-        for text in parts(word):
-            m = len(text)
-            edges = []
-            for i in range(m):
-                own = [(i, j, p, text[i:j]) for j in range(i + 1, min(m, i + longest) + 1) if (p := get(text[i:j])) is not None]
-                edges += own if own and own[0][1] == i + 1 else [(i, i + 1, UNKNOWN, None), *own]
+        text = START + word
+        m, edges = len(text), _edges(text, probability, longest)
+        if m <= SHORT:
             f, b = [0.0] * (m + 1), [0.0] * (m + 1)
             f[0] = b[m] = 1.0
             for i, j, p, _ in edges:
                 f[j] += f[i] * p
             for i, j, p, _ in reversed(edges):
                 b[i] += b[j] * p
-            if f[m] > 0:
-                scale = count / f[m]
-                for i, j, p, piece in edges:
-                    if piece is not None:
-                        out[piece] = out.get(piece, 0.0) + f[i] * p * b[j] * scale
+            share = lambda i, j, p: f[i] * p * b[j] / f[m]  # noqa: B023, E731
+        else:  # the same with logarithms
+            f, b = [-math.inf] * (m + 1), [-math.inf] * (m + 1)
+            f[0] = b[m] = 0.0
+            for i, j, p, _ in edges:
+                f[j] = _log_add(f[j], f[i] + math.log(p))
+            for i, j, p, _ in reversed(edges):
+                b[i] = _log_add(b[i], b[j] + math.log(p))
+            share = lambda i, j, p: math.exp(f[i] + math.log(p) + b[j] - f[m])  # noqa: B023, E731
+        for i, j, p, piece in edges:
+            if piece is not None:
+                out[piece] = out.get(piece, 0.0) + count * share(i, j, p)
     return out
 
 
@@ -92,15 +106,13 @@ def learn(texts: list[tuple[str, str]], pieces: list[str]) -> tuple[list[str], d
     langs, longest = sorted(by), max(map(len, pieces))
     columns = []
     for lang in langs:
-        words = Counter(dict(sorted(by[lang].items(), key=lambda x: (-x[1], x[0]))[:TRAIN_WORDS]))
+        words = Counter(dict(sorted(by[lang].items())))  # in an order that reruns keep
         known = dict.fromkeys(pieces, 1.0)
         counts: dict[str, float] = {}
         for word, c in words.items():  # first guess: every occurrence of a piece
-            for text in parts(word):
-                for i in range(len(text)):
-                    for j in range(i + 1, min(len(text), i + longest) + 1):
-                        if text[i:j] in known:
-                            counts[text[i:j]] = counts.get(text[i:j], 0.0) + c * (j - i) ** 2
+            for i, j, _, piece in _edges(START + word, known, longest):
+                if piece is not None:
+                    counts[piece] = counts.get(piece, 0.0) + c * (j - i) ** 2
         for step in range(ROUNDS + 1):
             total = sum(counts.values()) + SMOOTH * len(pieces)
             probability = {p: (counts.get(p, 0.0) + SMOOTH) / total for p in pieces}
@@ -150,27 +162,56 @@ class Scorer:
 
     def sums(self, run: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Log of the summed probability per string and language; strings by start and size in the running hash."""
-        _, down = power_tables(len(run))
-        order = np.argsort(-sizes, kind="stable")
         out = np.zeros((len(starts), len(self.langs)))
+        short = np.flatnonzero(sizes <= SHORT)
+        order = short[np.argsort(-sizes[short], kind="stable")]
         for c in range(0, len(order), CHUNK):
             own = order[c : c + CHUNK]
-            s, n = starts[own], sizes[own]
-            alpha = np.zeros((int(n[0]) + 1, len(own), len(self.langs)))
-            alpha[0] = 1
-            for t in range(1, int(n[0]) + 1):
-                live = int(np.count_nonzero(n >= t))
-                e = s[:live] + t
-                for size in range(1, min(t, self.longest) + 1):
-                    piece = self._find(mixed((run[e] - run[e - size]) * down[e - size]))
-                    if size == 1:
-                        alpha[t, :live] = alpha[t - 1, :live] * self.p[piece]  # -1: the unknown character, last
-                    else:
-                        hit = np.flatnonzero(piece >= 0)
-                        alpha[t, hit] += alpha[t - size, hit] * self.p[piece[hit]]
-            out[own] = np.log(np.maximum(alpha[n, np.arange(len(own))], 1e-300))
+            out[own] = self._together(run, starts[own], sizes[own])
+        for k in np.flatnonzero(sizes > SHORT):
+            out[k] = self._alone(run, int(starts[k]), int(sizes[k]))
         return out
 
+    def _together(self, run: np.ndarray, s: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Short strings, the longest first, a character of all of them at a time."""
+        _, down = power_tables(len(run))
+        alpha = np.zeros((int(n[0]) + 1, len(s), len(self.langs)))
+        alpha[0] = 1
+        for t in range(1, int(n[0]) + 1):
+            live = int(np.count_nonzero(n >= t))
+            e = s[:live] + t
+            for size in range(1, min(t, self.longest) + 1):
+                piece = self._find(mixed((run[e] - run[e - size]) * down[e - size]))
+                if size == 1:
+                    alpha[t, :live] = alpha[t - 1, :live] * self.p[piece]  # -1: the unknown character, last
+                else:
+                    hit = np.flatnonzero(piece >= 0)
+                    alpha[t, hit] += alpha[t - size, hit] * self.p[piece[hit]]
+        return np.log(alpha[n, np.arange(len(s))])
+
+    def _alone(self, run: np.ndarray, start: int, n: int) -> np.ndarray:
+        """A string of any length: only the last sums are kept, scaled as they shrink."""
+        _, down = power_tables(len(run))
+        longest = max(1, self.longest)
+        none = np.vstack([self.p, np.zeros((1, len(self.langs)))])  # the last row: no piece
+        last, log = np.zeros((longest, len(self.langs))), np.zeros(len(self.langs))
+        last[0] = 1.0  # sums of the last ``longest`` ends, the latest first
+        for low in range(0, n, SLICE):
+            e = start + np.arange(low + 1, min(n, low + SLICE) + 1)
+            ids = np.full((len(e), longest), len(none) - 1)
+            for size in range(1, longest + 1):
+                ok = e - size >= start
+                piece = self._find(mixed((run[e[ok]] - run[e[ok] - size]) * down[e[ok] - size]))
+                ids[ok, size - 1] = np.where(piece >= 0, piece, len(self.p) - 1 if size == 1 else len(none) - 1)
+            for k in range(len(e)):
+                new = (last * none[ids[k]]).sum(axis=0)
+                last[1:] = last[:-1]
+                last[0] = new
+                if k % 8 == 7:
+                    last /= new
+                    log += np.log(new)
+        return log + np.log(last[0])
+
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log likelihood per text and language, and which texts have a letter."""
         low = [(t or "").lower() for t in texts]
@@ -186,14 +227,11 @@ class Scorer:
         chars = np.insert(cp[where].astype(np.uint64), first, ord(START))
         size = np.diff(np.r_[first, len(where)]) + 1
         start = np.cumsum(size) - size
-        at = np.arange(len(chars)) - np.repeat(start, size)
-        cut = np.flatnonzero(at % SPAN == 0)
-        sizes = np.diff(np.r_[cut, len(chars)])
-        row = np.searchsorted(ends, where[first], side="right")[np.repeat(np.arange(len(size)), -(-size // SPAN))]
+        row = np.searchsorted(ends, where[first], side="right")
         up, down = power_tables(len(chars) + 1)
         run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(chars) * up[: len(chars)])])
-        _, one, back = np.unique(mixed((run[cut + sizes] - run[cut]) * down[cut]) + sizes.astype(np.uint64), return_index=True, return_inverse=True)
-        logs = self.sums(run, cut[one], sizes[one])
+        _, one, back = np.unique(mixed((run[start + size] - run[start]) * down[start]) + size.astype(np.uint64), return_index=True, return_inverse=True)
+        logs = self.sums(run, start[one], size[one])
         for k in range(len(self.langs)):
             total[:, k] = np.bincount(row, logs[back, k], len(low))
         some[row] = True
@@ -236,8 +274,11 @@ def _scored(model):
 def identify(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score."""
     held = (remainder(F.col("doc_id"), MODULUS) == HELD_OUT).alias("held_out")
-    labelled = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    sample = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text").orderBy("doc_id", "lang", "text").limit(SAMPLE_ROWS).collect()
-    model = docs.sparkSession.sparkContext.broadcast(learn([(r[1], r[2]) for r in sample], vocabulary(name)))
+    labelled = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"))
+    # of each language about the share that is asked for, so no task orders a language; then exactly the smallest
+    asked = labelled.groupBy("lang").agg((F.lit(2.0 * SAMPLE_ROWS) / F.count("*")).alias("share"))
+    few = labelled.join(small(asked), "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) <= F.col("share")).groupBy("lang", "h", "doc_id").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))
+    sample = few.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").collect()
+    model = docs.sparkSession.sparkContext.broadcast(learn([(r["lang"], r["text"]) for r in sample], vocabulary(name)))
     return bounded_batches(docs).select("doc_id", held, "text").mapInArrow(_scored(model), "doc_id long, held_out boolean, lang_pred string, score double")
