@@ -15,7 +15,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most this many rows may be broadcast; the callers count it first.
 BROADCAST_ROWS = 10_000
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 _paths: dict[int, tuple[weakref.ref, str]] = {}
@@ -56,6 +56,21 @@ def discard(*tables: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+def written() -> int:
+    """How many tables ``materialise`` has written that are still there, for ``discard_since``."""
+    return len(_written)
+
+
+def discard_since(count: int, *keep: DataFrame) -> None:
+    """Deletes the tables written since ``written`` was ``count``, but for those of ``keep``."""
+    kept = {_paths[id(df)][1] for df in keep if id(df) in _paths}
+    own = _written[count:]
+    _written[count:] = [w for w in own if w[1] in kept]
+    for spark, path in own:
+        if path not in kept:
+            _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -85,14 +100,17 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, its session set to send Python at most ``BATCH_ROWS`` rows at once.
+    """``df``, its session set to send Python at most ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes at once.
 
-    The default of 10,000 rows lets batches of long texts fill a worker and its executor;
-    a session that asks for fewer rows keeps its own setting.
+    Without it batches of long texts fill a worker and its executor. Spark has these
+    bounds as session settings only; they are tightened, never widened, and change no result.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        found = conf.get(key)
+        if not (found.isdigit() and 0 < int(found) <= most):
+            conf.set(key, str(most))
     return df
 
 

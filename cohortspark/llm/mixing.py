@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, materialise, small
+from .common import WORD, discard, materialise, small
 
 #: Weights dealt to the sources in order, again and again, and the most epochs.
 WEIGHTS = (5, 2, 1)
@@ -84,7 +84,9 @@ def cuts(thin: DataFrame) -> DataFrame:
     in_range = cut(sums.drop("source").join(small(goal.select("_m_source", "_m_rest")), "_m_source"), "_m_range").drop("_m_n")
     last = ranged.join(small(in_range), ["_m_source", "_m_range"]).groupBy("_m_source", "_m_key").agg(F.sum("size").alias("_m_n"), F.first("_m_rest").alias("_m_rest"))
     at = cut(last, "_m_key").select("_m_source", F.col("_m_key").alias("_m_cut"), "_m_rest", F.col("_m_n").alias("_m_tied"))
-    return materialise(goal.drop("_m_rest").join(at, "_m_source", "left"), "mix-cuts")
+    found = materialise(goal.drop("_m_rest").join(at, "_m_source", "left"), "mix-cuts")
+    discard(sums, goal)
+    return found
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -99,6 +101,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """Whole rows of ``docs``, each as often as the mix takes it; the cut falls at the nearer end of a document."""
     thin = materialise(docs.select("source", _source().alias("_m_source"), words(F.col("text")).alias("size"), _key(F.col("doc_id"), F.col("text")).alias("_m_key")), "mix-sizes")
     cut = small(cuts(thin).drop("source", "source_size", "target"))
+    discard(thin)
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_m_row"), _source().alias("_m_source"), _key(F.col("doc_id"), F.col("text")).alias("_m_key"))
     more = F.expr("CASE WHEN _m_key < _m_cut OR (_m_key = _m_cut AND 2 * _m_rest >= _m_tied) THEN 1L ELSE 0L END")
     copies = row.join(cut, "_m_source").withColumn("_m_copies", (F.col("_m_epochs") + more).cast("int"))

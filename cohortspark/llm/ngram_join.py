@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discard, freeing, materialise, partitions, tasks_for
+from .common import bounded_batches, discard, discard_since, freeing, materialise, partitions, tasks_for, written
 from .components import connected_components
 from .textbytes import shingle_sets, slices
 
@@ -474,7 +474,7 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
+    spark, since = docs.sparkSession, written()
     sc, few = spark.sparkContext, max(8, partitions(spark) // 4)
     buckets = max(2 * partitions(spark), tasks_for(docs, RANGE_BYTES))
     dealt = lambda t: t.repartition(max(partitions(spark), buckets // 2), "bucket").groupBy("bucket")
@@ -494,6 +494,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     least = materialise(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("d")), "join-least")
     of_label = least.join(labels, "node").groupBy("label").agg(F.min("d").alias("c"))
     of_node = materialise(least.join(labels.join(of_label, "label").select("node", "c"), "node", "left").select("node", F.coalesce("c", "d").alias("component_id")), "join-components")
+    discard_since(since, rows, of_node)
     some = rows.where("n_shingles > 0").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
     return some.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
@@ -504,6 +505,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     The ids that go are the fewer, so they are joined away. An id that stays in one
     component stays in all; rows without an id stay.
     """
-    stays = F.max(F.col("doc_id") == F.col("component_id"))
+    stays, since = F.max(F.col("doc_id") == F.col("component_id")), written()
     gone = materialise(similar_groups(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(stays.alias("stays")).where("NOT stays").select("doc_id"), "join-gone")
+    discard_since(since, gone)
     return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

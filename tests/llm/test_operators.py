@@ -96,8 +96,19 @@ def test_mix_meets_targets(spark):
     assert rows(mixing.mix(docs)) == rows(mixing.mix(docs))
 
 
-def test_mix_edges_and_tied_rows(spark):
-    assert mixing.mix(edges(spark)).count() == len(EDGES)
+def test_mix_edge_values(spark):
+    """Null, blank and very long texts, null ids and sources, repeated rows and clashing names: whole words of each target."""
+    rows_ = [(1, None, "en", "a"), (2, " \n", "en", "a"), (3, "w " * 50_000, "en", "a"), (None, "a b c d", None, None), (4, "a b", "en", "b"), (4, "a b", "en", "b"), (5, "", "en", "empty")]
+    docs = brute.documents(spark, rows_).withColumns({c: F.lit("x") for c in ("size", "target", "taken", "source_size", "a.b")})
+    got = sorted(map(tuple, mixing.mix(docs).collect()), key=str)
+    # weights a 5, b 2, empty 1, null 5: b, empty and null stop at three times their words, a takes the rest
+    left = 50_008 - 3 * 4 - 3 * 4
+    want = [(1, 0, 50_000, float(left), 0), (2, 0, 50_000, float(left), 0), (3, 50_000, 50_000, float(left), left), (None, 4, 4, 12.0, 12), (4, 2, 4, 12.0, 6), (4, 2, 4, 12.0, 6), (5, 0, 0, 0.0, 0)]
+    assert got == sorted(want, key=str)
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_mix_tied_rows(spark):
     same = brute.documents(spark, [(1, "a b c")] * 5 + [(2, "d e f g", "en", "t")])
     got = mixing.mix(same).toPandas()
     assert got["size"].tolist().count(3) == 5 and (got.taken <= 3 * got["size"]).all()
