@@ -14,7 +14,8 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    shingles that others have, and with the rarest first a prefix of those, often one or
    two, must meet any partner's. Documents that share a prefix shingle form a group,
    searched whole; one of more than ``BLOCK`` documents is dealt into blocks, each with
-   the same few pivots of the group.
+   the same few pivots of the group: those whose shingles most others have, so that the
+   original of many edited copies is one.
 3. Search. In a block, each document queries the inverted lists of those before it: the
    long lists are set aside, the short ones heap-merged, and candidates probed in the long
    ones (DivideSkip; a block's lists being short, all probes of a candidate are one
@@ -22,7 +23,8 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 4. Rest. Where the blocks of a group stay apart, the documents outside the group's
    largest part are dealt into chunks, and a chunk is searched against those members of
    the group that share a prefix shingle with it, block by block: a group that hangs
-   together by a chain of shared shingles costs what its links of the chain cost.
+   together by a chain of shared shingles costs what its links of the chain cost. A chunk
+   whose shingles' lists add up to the group or more is searched against the group.
 
 Null and blank texts have no set and no link. Repeated rows and equal sets form one
 component. A component's id is its smallest doc_id; null ids are passed over. An empty
@@ -259,12 +261,15 @@ def _document_counts(buckets: int):
 
 
 def _shared_sets(table: pa.Table) -> pa.Table:
-    """Counted shingles of a range of nodes to (node, n, tokens, prefix), if a node has enough of them."""
+    """Counted shingles of a range of nodes to (node, n, tokens, prefix, weight), if a node has enough of them.
+
+    ``weight``: how many nodes have a shingle of it, on average over all its shingles.
+    """
     nodes, counted = _flat(table.column("a"), np.int64), _flat(table.column("b"), COUNTED)
     order = np.lexsort((counted["token"], nodes))
     nodes, counted = nodes[order], counted[order]
     starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]]) if len(nodes) else np.zeros(0, np.int64)
-    name, size, tokens, prefix = [], [], [], []
+    name, size, tokens, prefix, weight = [], [], [], [], []
     for s, e in zip(starts, np.r_[starts[1:], len(nodes)]):
         n = int(counted["n"][s])
         spare = e - s - least_overlap(n)
@@ -274,7 +279,8 @@ def _shared_sets(table: pa.Table) -> pa.Table:
             size.append(n)
             tokens.append(own.tobytes())
             prefix.append(own[np.lexsort((own, counted["df"][s:e]))[: spare + 1]].tobytes())
-    return pa.table({"node": pa.array(name, pa.int64()), "n": pa.array(size, pa.int32()), "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.binary())})
+            weight.append(float(counted["df"][s:e].sum()) / n)
+    return pa.table({"node": pa.array(name, pa.int64()), "n": pa.array(size, pa.int32()), "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.binary()), "weight": pa.array(weight, pa.float64())})
 
 
 def _rare_postings(buckets: int):
@@ -437,9 +443,11 @@ def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between ``nodes`` (node, n, tokens, prefix) that connect what all links would; ``groups``: (node, label)."""
-    salted = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"]
-    size = groups.groupBy("label").agg(F.count("*").alias("m"), F.array_distinct(F.array(*map(salted, range(3)))).alias("pivots"))
+    """Links between ``nodes`` (node, n, tokens, prefix, weight) that connect what all links would; ``groups``: (node, label)."""
+    salt = lambda k: 0.5 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1024)) / 2048
+    heavy = lambda by: F.max(F.struct(by.alias("by"), "node"))["node"]
+    pivots = F.array_distinct(F.array(heavy(F.col("weight")), *(heavy(F.col("weight") * salt(k)) for k in range(2)), heavy(salt(2))))
+    size = groups.join(nodes.select("node", "weight"), "node").groupBy("label").agg(F.count("*").alias("m"), pivots.alias("pivots"))
     size = materialise(size.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "join-sizes")
     member = materialise(groups.join(size.select("label", "blocks"), "label"), "join-members")
     member = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -463,8 +471,14 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     left = materialise(left.select("label", "node", "part", "block", F.when(F.col("part") != F.col("main"), some).alias("chunk")), "join-left")
     token = nodes.select("node", "prefix").join(left, "node", "left_semi").mapInArrow(_prefix_tokens, "node long, token long")
     posted = materialise(token.join(left, "node"), "join-posted")
-    asked = posted.where("chunk IS NOT NULL").select("label", "token", F.col("chunk").alias("asks")).distinct()
-    met = materialise(posted.join(asked, ["label", "token"]).select("label", "asks", "block", "node", "part").distinct(), "join-met")
+    asked = materialise(posted.where("chunk IS NOT NULL").select("label", "token", F.col("chunk").alias("asks")).distinct(), "join-asked")
+    lists = posted.groupBy("label", "token").agg(F.count("*").alias("list"))
+    cost = asked.join(lists, ["label", "token"]).groupBy("label", "asks").agg(F.sum("list").alias("cost"))
+    cost = materialise(cost.join(size.select("label", "m"), "label").select("label", "asks", (F.col("cost") >= F.col("m")).alias("whole")), "join-cost")
+    narrow = asked.join(cost.where("NOT whole"), ["label", "asks"])
+    near = posted.join(narrow, ["label", "token"]).select("label", "asks", "block", "node", "part").distinct()
+    wide = cost.where("whole").groupBy("label").agg(F.collect_list("asks").alias("all"))  # a sixty-fourth of the group, at most
+    met = materialise(near.unionByName(left.join(wide, "label").select("label", F.explode("all").alias("asks"), "block", "node", "part")), "join-met")
     ask = left.where("chunk IS NOT NULL").select("label", F.col("chunk").alias("asks"), "node", "part")
     asking = ask.join(met.select("label", "asks", "block").distinct(), ["label", "asks"])
     pairs = met.unionByName(asking.select(*met.columns)).distinct()
@@ -487,7 +501,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     rows = materialise(docs.select("doc_id", "text").mapInArrow(freeing(_nodes(sc.broadcast(bloom))), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
     marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
     counted = dealt(marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS)).applyInArrow(_document_counts(buckets), POSTINGS)
-    shared = dealt(counted).applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary")
+    shared = dealt(counted).applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary, weight double")
     nodes = materialise(shared, "join-sets")
     near = nodes.select("node", "prefix").mapInArrow(freeing(_rare_postings(few)), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")
