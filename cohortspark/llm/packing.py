@@ -10,9 +10,10 @@ and prefix sums over tasks, and so its sequence and place without any regrouping
 
 The ids are those of ``tokenizers`` on the named file with ``add_special_tokens=False``:
 nothing is put around a text, but an added token's string within it gets its own id. Texts
-that hold no such string and are short of ``LONG`` characters go through a merger over that
-file's own vocabulary (equal ids, tested, at a quarter of the time), all others through
-``tokenizers`` itself. Null text is empty: one piece that holds only the end id. Repeated
+that hold no such string go through a merger over that file's own vocabulary (equal ids,
+tested, at a quarter of the time and a fraction of the memory), others through
+``tokenizers`` itself; long ones in parts, cut where no token can lie across, and a part
+of ``LONG`` characters without such a place through ``tokenizers``. Null text is empty: one piece that holds only the end id. Repeated
 rows are packed each; an empty table gives an empty table.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +38,8 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: The merger's pattern fails on about 1,000,000 white-space characters in a row; texts from this length on never reach it.
 LONG = 500_000
+PART = 100_000
+_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank_in_task long"
 
 
@@ -59,29 +63,42 @@ def _path(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
+@functools.lru_cache(maxsize=2)
+def _added(path: str) -> tuple[str, ...]:
+    """The strings of the tokenizer's added tokens."""
+    with open(path, encoding="utf-8") as f:
+        return tuple(t["content"] for t in json.load(f).get("added_tokens", []))
+
+
 @functools.lru_cache(maxsize=2)
 def _contract(path: str):
-    """The tokenizer itself, and the strings of its added tokens."""
+    """The tokenizer itself."""
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    return t, [a.content for a in t.get_added_tokens_decoder().values()]
+    return Tokenizer.from_file(path)
+
 
+def _parts(text: str) -> Iterator[str]:
+    """``text`` in parts of about ``PART`` characters, cut before a space between two letters.
 
-def token_ids(text: str | None, tokenizer: str = TOKENIZER) -> np.ndarray:
-    """The merger's ids of one text, all of it ordinary text, the end id included."""
-    ids = _encoder(_path(tokenizer)).encode_ordinary(text or "")
-    ids.append(END_ID)
-    return np.array(ids, dtype="<u4")
+    No token holds such a place but at its start, so the parts' ids are the text's.
+    """
+    low = 0
+    while len(text) - low > PART and (m := _CUT.search(text, low + PART)):
+        yield text[low : m.start()]
+        low = m.start()
+    yield text[low:]
 
 
 def document_ids(text: str | None, tokenizer: str = TOKENIZER) -> np.ndarray:
     """The ids of one document, the end id included."""
-    text = text or ""
-    t, added = _contract(_path(tokenizer))
-    if len(text) < LONG and not any(a in text for a in added):
-        return token_ids(text, tokenizer)
-    return np.array([*t.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4")
+    ids = []
+    for part in _parts(text or ""):
+        if len(part) < LONG and not any(a in part for a in _added(_path(tokenizer))):
+            ids.append(np.array(_encoder(_path(tokenizer)).encode_ordinary(part), dtype="<u4"))
+        else:
+            ids.append(np.array(_contract(_path(tokenizer)).encode(part, add_special_tokens=False).ids, dtype="<u4"))
+    return np.concatenate([*ids, np.array([END_ID], "<u4")])
 
 
 def _pieces(capacity: int, tokenizer: str):

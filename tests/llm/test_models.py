@@ -169,3 +169,13 @@ def test_packing_edge_values(spark):
     assert Counter(zip(ids, got.piece, got.start, got.length, got.ids_crc32)) == want
     assert got.sequence_id.nunique() <= np.ceil(got.length.sum() / packing.CAPACITY) + 3
     assert packing.pack(docs.where("false")).count() == 0
+
+
+def test_long_texts_are_cut_where_no_token_lies_across(spark):
+    """Texts of many parts have the tokenizer's ids, added tokens and odd white space around the cuts included."""
+    rnd = random.Random(8)
+    words = ["a", "I'm", "don't", "x1", "été", "中文", "\n", "  ", "\t", "well,", "<|endoftext|>", "12 345", "--", "Word", "z" * 40]
+    for seed in range(3):
+        text = rnd.choice(["", " ", "\n"]) + " ".join(rnd.choice(words) for _ in range(80_000))
+        assert len(list(packing._parts(text))) > 1 and "".join(packing._parts(text)) == text
+        assert packing.document_ids(text).tolist() == _tokens(text)

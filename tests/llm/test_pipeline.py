@@ -35,7 +35,7 @@ def test_stages_keep_what_they_should(spark):
     copies = Counter(r.doc_id for r in mixed.collect())
     assert set(copies) <= ids(apart) and max(copies.values()) <= 3
     packed = stage["packing"](spark, mixed, TINY).collect()
-    assert sum(r.length for r in packed) == sum(n * len(packing.token_ids(text[d])) for d, n in copies.items())
+    assert sum(r.length for r in packed) == sum(n * len(packing.document_ids(text[d])) for d, n in copies.items())
 
 
 def test_run_is_all_stages(spark):
