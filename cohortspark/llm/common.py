@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most this many rows may be broadcast; the callers count it first.
 BROADCAST_ROWS = 10_000
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+ROW_GROUP = 16 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 _paths: dict[int, tuple[weakref.ref, str]] = {}
@@ -41,7 +42,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     if not _written:
         atexit.register(_sweep)
     _written.append((spark, path))
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)  # small row groups, as every writer holds one in memory
     out = spark.read.schema(df.schema).parquet(path)
     _paths[id(out)] = (weakref.ref(out), path)
     return out
