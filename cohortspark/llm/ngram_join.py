@@ -110,8 +110,8 @@ SEVERAL = (0, 1)
 COUNT = np.dtype([("n", "<i4"), ("c", "<i4")])
 
 
-def _prefix_postings(buckets: int):
-    """Texts to postings (shingle, mark) of their prefixes, and to counts of marks (in ``buckets`` ranges behind those).
+def _prefix_postings(buckets: int, fewer: int):
+    """Texts to postings (shingle, mark) of their prefixes, and to counts of marks (in ``fewer`` ranges behind those).
 
     A set is posted once in a task. Of a shingle that several sets of the task have, the
     task counts it for each and posts that there are several.
@@ -128,7 +128,7 @@ def _prefix_postings(buckets: int):
         yield _scatter(np.concatenate([key[single], shared, shared]), np.concatenate([marks[owner[single]], np.full(len(shared), SEVERAL[0], U64), np.full(len(shared), SEVERAL[1], U64)]), buckets)
         counts = np.empty(len(marks), COUNT)
         counts["n"], counts["c"] = sizes, np.bincount(owner[~single], minlength=len(marks))
-        yield _scatter(marks, counts, buckets, buckets)
+        yield _scatter(marks, counts, fewer, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -165,8 +165,8 @@ def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys, values, starts, np.diff(np.r_[starts, len(keys)])
 
 
-def _shared_counts(buckets: int):
-    """Postings of a range to counts of marks: how many of the range's shingles others have too. Counts pass through."""
+def _shared_counts(buckets: int, fewer: int):
+    """Postings of a range to counts of marks, in ``fewer`` ranges: how many of the range's shingles others have too. Counts pass through."""
 
     def run(table: pa.Table) -> pa.Table:
         if (first := table.column("bucket")[0].as_py()) >= buckets:
@@ -176,7 +176,7 @@ def _shared_counts(buckets: int):
         found, count = found[np.searchsorted(found, len(SEVERAL)) :], count[np.searchsorted(found, len(SEVERAL)) :]
         out = np.zeros(len(found), COUNT)
         out["c"] = count
-        return pa.Table.from_batches([_scatter(found, out, buckets)])
+        return pa.Table.from_batches([_scatter(found, out, fewer)])
 
     return run
 
@@ -491,17 +491,18 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     spark, since = docs.sparkSession, written()
     sc, few = spark.sparkContext, max(8, partitions(spark) // 4)
     buckets = max(2 * partitions(spark), tasks_for(docs, RANGE_BYTES))
-    dealt = lambda t: t.repartition(max(partitions(spark), buckets // 2), "bucket").groupBy("bucket")
-    posted = bounded_batches(docs).select("text").mapInArrow(freeing(_prefix_postings(buckets)), POSTINGS)
-    counts = materialise(dealt(posted).applyInArrow(_shared_counts(buckets), POSTINGS), "join-counts")
+    fewer = max(8, buckets // 8)  # counts are few beside postings, and every range writes to every range
+    dealt = lambda t, n=buckets: t.repartition(max(partitions(spark), n // 2), "bucket").groupBy("bucket")
+    posted = bounded_batches(docs).select("text").mapInArrow(freeing(_prefix_postings(buckets, fewer)), POSTINGS)
+    counts = materialise(dealt(posted).applyInArrow(_shared_counts(buckets, fewer), POSTINGS), "join-counts")
     bloom = np.zeros(1 << (BLOOM_BITS - 6), U64)
-    for r in dealt(counts).applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
+    for r in dealt(counts, fewer).applyInArrow(lambda t: _survivor_bits(t), "a binary, b binary").toLocalIterator():
         np.bitwise_or.at(bloom, np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], U64))
     discard(counts)
     rows = materialise(docs.select("doc_id", "text").mapInArrow(freeing(_nodes(sc.broadcast(bloom))), "doc_id long, n_shingles long, node long, tokens binary"), "join-nodes")
     marked = rows.where("tokens IS NOT NULL").select("node", "tokens")
-    counted = dealt(marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS)).applyInArrow(_document_counts(buckets), POSTINGS)
-    shared = dealt(counted).applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary, weight double")
+    counted = dealt(marked.mapInArrow(freeing(_all_postings(buckets)), POSTINGS)).applyInArrow(_document_counts(buckets // 2), POSTINGS)
+    shared = dealt(counted, buckets // 2).applyInArrow(lambda t: _shared_sets(t), "node long, n int, tokens binary, prefix binary, weight double")
     nodes = materialise(shared, "join-sets")
     near = nodes.select("node", "prefix").mapInArrow(freeing(_rare_postings(few)), POSTINGS).groupBy("bucket").applyInArrow(lambda t: _forest(t), "u long, v long")
     labels = materialise(connected_components(_links(nodes, connected_components(near))), "join-labels")

@@ -50,7 +50,7 @@ def test_chains_and_groups_apart(spark):
 def test_a_hot_shingle_fills_no_range():
     """Of a shingle that all documents have, a task posts one pair however many documents it has."""
     texts = [f"one two three four five x{i}" for i in range(5000)]
-    pieces = list(ngram_join._prefix_postings(8)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    pieces = list(ngram_join._prefix_postings(8, 8)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
     posted = [len(a.as_py()) // 8 for b in pieces for bucket, a in zip(b.column(0).to_pylist(), b.column(1)) if bucket < 8]
     counts = [len(a.as_py()) // 8 for b in pieces for bucket, a in zip(b.column(0).to_pylist(), b.column(1)) if bucket >= 8]
     hot = ngram_join.shingle_sets(np.frombuffer(b"one two three four five", np.uint8), np.array([0, 23]), 5)[0]
