@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.functions import genotype as G
 from cohortspark.operators import burden, filters, stats
 from cohortspark.sources import adapters as A
 from cohortspark.sources import readers, sinks
@@ -60,9 +61,20 @@ def agg_2b(spark: SparkSession, d: str) -> DataFrame:
     return h.select("chrom", "pos", "cohort", F.when(ok, F.round(F.col("mgf").cast("double"), 6)).alias("mgf"))
 
 
-@query("agg_3_hardy_weinberg_cohorts", "calls cohorts", "SELECT chrom, pos, cohort, CAST(count(*) FILTER (WHERE gt = '1/1') AS INT) AS hom_alt, CAST(count(*) FILTER (WHERE gt = '0/1') AS INT) AS het, CAST(count(*) FILTER (WHERE gt = '0/0') AS INT) AS hom_ref FROM calls JOIN cohorts USING (sample_id) GROUP BY 1, 2, 3")
+HWE_COHORTS = """
+, g AS (SELECT chrom, pos, cohort, CAST(count(*) FILTER (WHERE gt = '1/1') AS INT) hom_alt, CAST(count(*) FILTER (WHERE gt = '0/1') AS INT) het, CAST(count(*) FILTER (WHERE gt = '0/0') AS INT) hom_ref FROM calls JOIN cohorts USING (sample_id) GROUP BY 1, 2, 3),
+k AS (SELECT DISTINCT least(hom_alt, hom_ref) aa, het ab, greatest(hom_alt, hom_ref) bb FROM g),
+e AS (SELECT k.*, aa + ab + bb n, 2 * aa + ab rare, h FROM k, unnest(range((2 * aa + ab) % 2, 2 * aa + ab + 1, 2)) u(h) WHERE aa + ab + bb > 0),
+w AS (SELECT *, h * ln(2) - lgamma((rare - h) // 2 + 1) - lgamma(h + 1) - lgamma(n - h - (rare - h) // 2 + 1) lp FROM e),
+z AS (SELECT *, exp(lp - max(lp) OVER (PARTITION BY aa, ab, bb)) p FROM w),
+r AS (SELECT aa, ab, bb, sum(p) FILTER (WHERE h >= ab) / sum(p) top, sum(p) FILTER (WHERE h <= ab) / sum(p) oth FROM z GROUP BY 1, 2, 3)
+SELECT chrom, pos, cohort, hom_alt, het, hom_ref, round(CASE WHEN hom_alt + het + hom_ref < 1 THEN -1 WHEN top > 0.5 AND oth > 0.5 THEN 1.0 ELSE 2 * least(top, oth) END, 6) AS hwe
+FROM g LEFT JOIN r ON aa = least(hom_alt, hom_ref) AND ab = het AND bb = greatest(hom_alt, hom_ref)""".lstrip()
+
+
+@query("agg_3_hardy_weinberg_cohorts", "calls cohorts", HWE_COHORTS)
 def agg_3(spark: SparkSession, d: str) -> DataFrame:
-    return stats.hardy_weinberg(agg_2(spark, d), ["chrom", "pos"]).select("chrom", "pos", "cohort", "hom_alt", "het", "hom_ref")
+    return stats.hardy_weinberg(agg_2(spark, d), ["chrom", "pos"]).select("chrom", "pos", "cohort", "hom_alt", "het", "hom_ref", F.round("hwe", 6).alias("hwe"))
 
 
 @query("agg_4_weighted_count", "calls", "SELECT chrom, pos, CAST(sum(CASE gt WHEN '1/1' THEN 2 ELSE 1 END) AS BIGINT) AS n FROM calls WHERE gt IN ('0/1', '1/1') GROUP BY 1, 2")
@@ -71,14 +83,14 @@ def agg_4(spark: SparkSession, d: str) -> DataFrame:
     return stats.weighted_count(lists, ["chrom", "pos"])
 
 
-@query("agg_6_type_summary", "calls", """
-, o AS (SELECT chrom, pos, CAST(count(*) FILTER (WHERE gt <> './.') AS DOUBLE) / count(*) * (CAST(count(*) FILTER (WHERE pass) AS DOUBLE) / count(*)) opr FROM calls GROUP BY 1, 2)
-SELECT CASE pos % 3 WHEN 0 THEN 'SNV' WHEN 1 THEN 'INSERTION' ELSE 'DELETION' END AS type, count(*) AS n, count(*) FILTER (WHERE opr >= 0.8) AS n_08, count(*) FILTER (WHERE opr >= 0.9) AS n_09, count(*) FILTER (WHERE opr >= 0.95) AS n_095 FROM o GROUP BY 1""".lstrip())
+@query("agg_6_type_summary", "records", """
+, o AS (SELECT CASE WHEN typ = 'INDEL' THEN CASE WHEN rstart > rend THEN 'INSERTION' ELSE 'DELETION' END ELSE typ END AS type, CAST(count(*) FILTER (WHERE gt <> './.') AS DOUBLE) / count(*) * (CAST(count(*) FILTER (WHERE coalesce(filt = 'PASS', false)) AS DOUBLE) / count(*)) opr FROM records GROUP BY chrom, rstart, ref, alt, 1)
+SELECT type, count(*) AS n, count(*) FILTER (WHERE opr >= 0.8) AS n_08, count(*) FILTER (WHERE opr >= 0.9) AS n_09, count(*) FILTER (WHERE opr >= 0.95) AS n_095 FROM o GROUP BY 1""".lstrip())
 def agg_6(spark: SparkSession, d: str) -> DataFrame:
-    n, share = F.count("*"), lambda when: F.count_if(when).cast("double") / F.count("*")
-    o = A.calls(spark, d).groupBy("chrom", "pos").agg((share(F.col("gt") != "./.") * share(F.col("pass"))).alias("opr"), n.alias("n"))
-    kind = F.expr("CASE pos % 3 WHEN 0 THEN 'SNV' WHEN 1 THEN 'INSERTION' ELSE 'DELETION' END")
-    return stats.type_summary(o.withColumn("type", kind))
+    """Types by the alleles of each variant of the records."""
+    share = lambda when: F.count_if(when).cast("double") / F.count("*")
+    o = A.records(spark, d).groupBy("chrom", "start", "ref", "alt").agg((share(F.col("gt") != "./.") * share(G.is_pass(F.col("filter")))).alias("opr"))
+    return stats.type_summary(o.withColumn("type", G.infer_type(F.col("ref"), F.col("alt"))))
 
 
 @query("agg_9_slot_counts", "calls", "SELECT gt AS slot, count(*) AS n FROM calls GROUP BY 1")
@@ -318,16 +330,23 @@ def agg_8(spark: SparkSession, d: str) -> DataFrame:
     return burden.by_cohort(found, A.cohorts(spark, d))
 
 
-@query("agg_11_counters", "calls variants", "SELECT so_term AS counter, count(*) AS n FROM variants GROUP BY 1 UNION ALL SELECT 'calls', count(*) FROM calls")
+@query("agg_11_counters", "calls cohorts variants", STATS + f" SELECT 'variants' AS counter, count(*) AS n FROM variants UNION ALL SELECT 'without frequency', count(*) FILTER (WHERE maf IS NULL) FROM variants v LEFT JOIN m ON m.chrom = v.chrom AND m.pos = v.pos AND {CONTROL} UNION ALL SELECT 'protein coding', count(*) FILTER (WHERE biotype = 'protein_coding') FROM variants UNION ALL SELECT 'passed', count(*) FROM variants v JOIN m ON m.chrom = v.chrom AND m.pos = v.pos AND {CONTROL} WHERE opr >= CAST(0.4 AS FLOAT) AND maf < CAST(0.2 AS FLOAT) AND biotype = 'protein_coding' AND so_term IN ('stop_gained', 'frameshift_variant')")
 def agg_11(spark: SparkSession, d: str) -> DataFrame:
-    return A.variants(spark, d).groupBy(F.col("so_term").alias("counter")).agg(F.count("*").alias("n")).unionByName(A.calls(spark, d).agg(F.lit("calls").alias("counter"), F.count("*").alias("n")))
+    """Counters of a run, observed while its rows are counted: no second pass."""
+    seen, passed = Observation(), Observation()
+    n = lambda when: F.count_if(F.coalesce(when, F.lit(False)))
+    rows = _with_control(spark, d).observe(seen, F.count(F.lit(1)).alias("variants"), n(F.col("maf").isNull()).alias("without frequency"), n(F.col("biotype") == "protein_coding").alias("protein coding"))
+    filters.survivors(rows, _chain()).observe(passed, F.count(F.lit(1)).alias("passed")).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list((seen.get | passed.get).items()), "counter string, n long")
+
+
+SHOWN = r"regexp_replace(regexp_replace(printf('%.3f', round_even(CAST({x} AS DOUBLE), 3)), '(\.[0-9]*?)0+$', '\1'), '\.$', '')"
 
 
-@query("snk_9_info_fields", "calls cohorts", STATS + " SELECT chrom, pos, count(*) AS n FROM m GROUP BY 1, 2")
+@query("snk_9_info_fields", "calls cohorts", STATS + " SELECT chrom, pos, string_agg(cohort || '_OPR=' || " + SHOWN.format(x="opr") + " || ';' || cohort || '_CR=' || " + SHOWN.format(x="cr") + " || ';' || cohort || '_PR=' || " + SHOWN.format(x="pr") + ", ';' ORDER BY cohort) AS info FROM m GROUP BY 1, 2")
 def snk_9(spark: SparkSession, d: str) -> DataFrame:
-    """Fields per variant: three for each cohort."""
-    info = sinks.info_field(_stats(spark, d), ["chrom", "pos"])
-    return info.select("chrom", "pos", (F.size(F.split("info", ";")) / 3).cast("bigint").alias("n"))
+    """The INFO text of each variant: three rates for each cohort."""
+    return sinks.info_field(_stats(spark, d), ["chrom", "pos"])
 
 
 @query("gen_5_call_rates", "calls", "SELECT chrom, pos, count(*) FILTER (WHERE pass) AS \"PASS\", count(*) FILTER (WHERE gt <> './.') AS \"CALL\", round(CAST(count(*) FILTER (WHERE gt <> './.') AS DOUBLE) / count(*) * (CAST(count(*) FILTER (WHERE pass) AS DOUBLE) / count(*)), 9) AS \"OPR\" FROM calls GROUP BY 1, 2")

@@ -134,11 +134,12 @@ def fn_13(spark: SparkSession, d: str) -> DataFrame:
     return A.calls(spark, d).groupBy("chrom", "pos").agg((F.size(g("0/1", "1/1")) > 0).alias("has_variant"), (F.size(g("0", "./.")) > 0).alias("has_reference"))
 
 
-@query("set_1_union", "calls", "SELECT count(DISTINCT sample_id) AS n, CAST(sum(DISTINCT sample_id) AS BIGINT) AS total FROM calls WHERE gt = '1/1' AND pos < 50 OR gt = './.' AND pos < 60")
+@query("set_1_union", "calls", "SELECT chrom, pos, count(DISTINCT sample_id) AS n, CAST(sum(DISTINCT sample_id) AS BIGINT) AS total FROM calls WHERE gt = '1/1' OR NOT pass GROUP BY 1, 2")
 def set_1(spark: SparkSession, d: str) -> DataFrame:
+    """Per position the samples of either list."""
     c = A.calls(spark, d)
-    ids = c.where("gt = '1/1' AND pos < 50").select("sample_id").union(c.where("gt = './.' AND pos < 60").select("sample_id")).distinct()
-    return ids.agg(F.count("*").alias("n"), F.sum("sample_id").alias("total"))
+    ids = c.where("gt = '1/1'").select("chrom", "pos", "sample_id").union(c.where("NOT pass").select("chrom", "pos", "sample_id")).distinct()
+    return ids.groupBy("chrom", "pos").agg(F.count("*").alias("n"), F.sum("sample_id").alias("total"))
 
 
 def _two_lists(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortspark.operators import genotypes as GT
@@ -11,7 +12,7 @@ from cohortspark.operators import regions as R
 from cohortspark.operators import stats
 from cohortspark.plans.engine import Engine
 from cohortspark.sources import adapters as A
-from cohortspark.sources import sinks
+from cohortspark.sources import sinks, vcf
 
 from .query import VariantQuery
 from .queries_scan import scratch
@@ -260,3 +261,44 @@ def snk_4(spark: SparkSession, d: str) -> DataFrame:
 def flt_20s(spark: SparkSession, d: str) -> DataFrame:
     counts = M.slots(_merged(spark, d))
     return VariantQuery(counts.select(*M.VARIANT).distinct(), counts).genotype({7: ("1/1",)}).select(*M.VARIANT).frame()
+
+
+def _vcf_text(spark: SparkSession, d: str, path: str) -> DataFrame:
+    """The records as gVCF files, one per file id with its samples' columns; returns the samples."""
+    r = A.records(spark, d)
+    samples = A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("sample_id"), F.concat(F.lit("S"), "s_suppkey").alias("name"))
+    dealt = samples.withColumn("file_id", F.expr("sample_id % 10")).withColumn("nr", F.row_number().over(W.partitionBy("file_id").orderBy("sample_id")) - 1)
+    head = dealt.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("nr", "name"))).alias("x"), F.count("*").cast("int").alias("n"))
+    header = head.select("file_id", F.explode(F.array(F.struct(F.lit(0).alias("o"), F.lit("##fileformat=VCFv4.2").alias("line")), F.struct(F.lit(1).alias("o"), F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.array_join("x.name", "\t")).alias("line")))).alias("h")).select("file_id", "h.o", "h.line")
+    second = F.size("sec_alts") > 0
+    ref = F.when(F.col("type") == "NO_VARIATION", "N").otherwise(F.concat(F.lit("N"), F.when(second, "AC").otherwise(F.col("ref"))))
+    alt = F.when(F.col("type") == "NO_VARIATION", "<NON_REF>").when(second, F.concat(F.lit("N"), "alt", F.lit("C,N,<NON_REF>"))).otherwise(F.concat(F.lit("N"), "alt"))
+    pos = F.when(F.col("type") == "NO_VARIATION", F.col("start")).otherwise(F.col("start") - 1)
+    info = F.when(F.col("type") == "NO_VARIATION", F.concat(F.lit("DP=9;END="), "end")).otherwise(".")
+    entry = F.concat_ws(":", "gt", F.col("dp").cast("string"), F.array_join(F.col("ad").cast("array<string>"), ","))
+    rows = r.join(dealt.select("sample_id", "nr"), "sample_id").join(head.select("file_id", "n"), "file_id")
+    line = F.concat(F.concat_ws("\t", "chrom", pos.cast("string"), F.lit("."), ref, alt, F.lit("."), F.coalesce("filter", F.lit(".")), info, F.lit("GT:DP:AD")), F.repeat(F.lit("\t."), F.col("nr")), F.lit("\t"), entry, F.repeat(F.lit("\t."), F.col("n") - 1 - F.col("nr")))
+    body = rows.select("file_id", F.lit(2).alias("o"), line.alias("line"))
+    header.unionByName(body).repartition("file_id").sortWithinPartitions("file_id", "o").select("file_id", "line").write.partitionBy("file_id").text(path)
+    return samples
+
+
+@query("src_vcf_records", "records", "SELECT sample_id, chrom, rstart AS start, CAST(rend AS INT) AS \"end\", ref, alt, typ AS type, CAST(CASE WHEN k = 5 THEN 1 ELSE 0 END AS INT) AS seconds, gt, dp, CAST(ad[2] AS INT) AS ad1, filt AS filter FROM records")
+def src_vcf(spark: SparkSession, d: str) -> DataFrame:
+    """Call records through gVCF text and back: reference blocks, padded indels, second alternates, many samples a file."""
+    path = scratch(spark, "vcf")
+    samples = _vcf_text(spark, d, path)
+    rows = vcf.read_vcf(spark, path, samples)
+    return rows.select("sample_id", "chrom", "start", "end", "ref", "alt", "type", F.size("sec_alts").alias("seconds"), "gt", "dp", F.get("ad", F.lit(1)).alias("ad1"), "filter")
+
+
+@query("snk_8_sample_vcf", "records", REGIONS + STATE + GT_SQL + """, s AS (SELECT CAST(s_suppkey AS INT) sample_id FROM supplier), shown AS (SELECT chrom, pos, ref, alt, CASE WHEN ua THEN ',A' ELSE '' END || CASE WHEN uc THEN ',C' ELSE '' END || CASE WHEN ut THEN ',T' ELSE '' END || CASE WHEN ug THEN ',G' ELSE '' END AS bases, CASE WHEN ud THEN ',*' ELSE '' END || CASE WHEN ui THEN ',*' ELSE '' END AS stars FROM used),
+v AS (SELECT chrom, pos, ref, alt, string_agg(coalesce(gt2, '0/0'), chr(9) ORDER BY sample_id) AS gts FROM (SELECT DISTINCT chrom, pos, ref, alt FROM gt) CROSS JOIN s LEFT JOIN gt USING (chrom, pos, ref, alt, sample_id) GROUP BY ALL),
+p AS (SELECT v.*, bases, stars, length(ref) = 0 OR length(alt) = 0 AS blank FROM v JOIN shown USING (chrom, pos, ref, alt))
+SELECT chrom || chr(9) || (CASE WHEN blank THEN pos - 1 ELSE pos END) || chr(9) || '.' || chr(9) || (CASE WHEN blank THEN 'N' ELSE '' END) || ref || chr(9) || (CASE WHEN blank THEN 'N' || alt || replace(bases, ',', ',N') ELSE alt || bases END) || stars || chr(9) || '.' || chr(9) || '.' || chr(9) || '.' || chr(9) || 'GT' || chr(9) || gts AS line FROM p""")
+def snk_8s(spark: SparkSession, d: str) -> DataFrame:
+    """The merged variants as a multi-sample VCF, written and read as text."""
+    path = scratch(spark, "sample-vcf")
+    samples = A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("sample_id"), F.concat(F.lit("S"), "s_suppkey").alias("name"))
+    vcf.write_sample_vcf(spark, GT.sample_genotypes(_merged(spark, d)), samples, path)
+    return spark.read.text(f"{path}/body").select(F.col("value").alias("line"))

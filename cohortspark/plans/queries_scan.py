@@ -121,10 +121,10 @@ def src_14(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_sample_collection(spark, path)[1]
 
 
-@query("src_15_pos_ref_alt", "variants", "SELECT chrom, pos, ref, alt FROM variants WHERE pos % 10 = 0")
+@query("src_15_pos_ref_alt", "variants", "SELECT chrom, pos, ref, alt FROM variants")
 def src_15(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "list")
-    v = A.variants(spark, d).where("pos % 10 = 0")
+    v = A.variants(spark, d)
     v.select(F.concat_ws("\t", "chrom", "pos", "ref", "alt")).union(spark.createDataFrame([("",)], "x string")).write.text(path)
     return readers.read_pos_ref_alt(spark, path)
 
@@ -320,11 +320,11 @@ def gt_4(spark: SparkSession, d: str) -> DataFrame:
     return A.records(spark, d).groupBy(G.is_pass(F.col("filter")).alias("pass")).agg(F.count("*").alias("n"))
 
 
-@query("gt_9_region_lookup", "call_regions", "SELECT p AS pos, count(*) AS n FROM call_regions, unnest([100, 101, 250, 999]) u(p) WHERE rstart <= p AND p <= greatest(rstart, rend) GROUP BY 1")
+@query("gt_9_region_lookup", "call_regions variants", "SELECT v.chrom, v.pos, count(*) AS n, count(DISTINCT sample_id) AS samples FROM variants v JOIN call_regions r ON r.chrom = v.chrom AND r.rstart <= v.pos AND v.pos <= greatest(r.rstart, r.rend) GROUP BY 1, 2")
 def gt_9(spark: SparkSession, d: str) -> DataFrame:
-    """Rows at given points, insertions at their start only."""
-    points = spark.createDataFrame([(p,) for p in (100, 101, 250, 999)], "pos int").withColumn("chrom", F.lit("any"))
-    return joins.point_in_range(points, A.call_regions(spark, d).withColumn("chrom", F.lit("any")), 16).groupBy("pos").agg(F.count("*").alias("n"))
+    """Rows at each variant's position, insertions at their start only."""
+    points = A.variants(spark, d).select("chrom", "pos")
+    return joins.point_in_range(points, A.call_regions(spark, d), 64).groupBy("chrom", "pos").agg(F.count("*").alias("n"), F.countDistinct("sample_id").alias("samples"))
 
 
 @query("join_5_cohort_semi", "calls cohorts", "SELECT gt, count(*) AS n FROM calls WHERE sample_id IN (SELECT sample_id FROM cohorts WHERE cohort = 'EUROPE') GROUP BY gt")
