@@ -10,6 +10,7 @@ from cohortspark.operators import burden, filters, stats
 from cohortspark.sources import adapters as A
 from cohortspark.sources import readers, sinks
 
+from .config import ExportConfig
 from .queries_scan import scratch
 from .query import VariantQuery
 from .registry import query
@@ -166,6 +167,19 @@ def flt_11(spark: SparkSession, d: str) -> DataFrame:
     return s.where(filters.pass_rate_filter(F.col("oprs"), F.col("chrom"), 0.3)).select("chrom", "pos")
 
 
+EXPORT = {"storage.allele.opr.cohorts": "ASIA,EUROPE", "storage.allele.opr.cutoff": "0.3", "storage.allele.opr.x.cohorts": "AFRICA", "storage.allele.opr.x.cutoff": "0.5", "storage.allele.maf.cohorts": "ALL", "storage.allele.maf.cutoff": "0.4", "storage.allele.type.exclude": "NO_VARIATION"}
+
+
+@query("flt_11_export_filters", "calls cohorts variants", STATS + """, w AS (SELECT chrom, pos, max(CAST(opr AS DOUBLE)) FILTER (WHERE cohort = 'ASIA') a, max(CAST(opr AS DOUBLE)) FILTER (WHERE cohort = 'EUROPE') e, max(CAST(opr AS DOUBLE)) FILTER (WHERE cohort = 'AFRICA') f, max(CAST(maf AS DOUBLE)) FILTER (WHERE cohort = 'ALL') maf FROM m GROUP BY 1, 2)
+SELECT CASE WHEN v.chrom = '3' THEN 'X' ELSE v.chrom END AS chrom, v.pos FROM variants v JOIN w USING (chrom, pos) WHERE CASE WHEN v.chrom = '3' THEN coalesce(f >= 0.5, true) ELSE coalesce(a >= 0.3, true) AND coalesce(e >= 0.3, true) END AND coalesce(maf > 0.4, false)""")
+def flt_11b(spark: SparkSession, d: str) -> DataFrame:
+    """The export's filters as configured: pass rates by cohort with their own for X (here chromosome 3), frequency, types."""
+    s = stats.called_statistics(A.calls(spark, d), A.cohorts(spark, d)).select("chrom", "pos", F.struct("cohort", F.struct(F.col("opr").alias("overallPassrate"), "maf")).alias("x"))
+    by = s.groupBy("chrom", "pos").agg(F.map_from_entries(F.collect_list("x")).alias("stats"))
+    v = A.variants(spark, d).join(by, ["chrom", "pos"]).withColumns({"type": G.infer_type(F.col("ref"), F.col("alt")), "chrom": F.when(F.col("chrom") == "3", "X").otherwise(F.col("chrom"))})
+    return ExportConfig.of(EXPORT).apply(v).select("chrom", "pos")
+
+
 @query("flt_12_common_frequency", "calls cohorts", STATS + " SELECT chrom, pos FROM m GROUP BY 1, 2 HAVING max(CAST(maf AS DOUBLE)) > 0.45")
 def flt_12(spark: SparkSession, d: str) -> DataFrame:
     s = stats.called_statistics(A.calls(spark, d), A.cohorts(spark, d)).groupBy("chrom", "pos").agg(F.collect_list(F.col("maf").cast("double")).alias("mafs"))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortspark.functions import genotype as G
+from cohortspark.functions import keys
 from cohortspark.functions.hwe import exact_p
 from cohortspark.operators import annotate, filters
 from cohortspark.sources import adapters as A
@@ -231,3 +232,11 @@ def flt_14(spark: SparkSession, d: str) -> DataFrame:
 @query("snk_16_query_api", "variants", "SELECT chrom, pos, ref, alt FROM variants WHERE (chrom = '3' AND pos BETWEEN 10 AND 1500 OR chrom = '5' AND pos BETWEEN 1 AND 900) AND ref IN ('A', 'C') AND so_term = 'stop_gained' ORDER BY pos LIMIT 20")
 def snk_16(spark: SparkSession, d: str) -> DataFrame:
     return VariantQuery(A.variants(spark, d)).region("3:10-1500", "5:1-900").reference("A", "C").where(F.col("so_term") == "stop_gained").select("chrom", "pos", "ref", "alt").order_by("pos").limit(20).frame()
+
+
+@query("fn_12_flt_17_position_keys", "variants", "SELECT chrom, pos, chrom || '_' || lpad(CAST(pos AS VARCHAR), 10, '0') AS key FROM variants")
+def fn_12(spark: SparkSession, d: str) -> DataFrame:
+    """Keys made, a metadata row put between them and skipped, keys read again."""
+    v = A.variants(spark, d).select(keys.position_key(F.col("chrom"), F.col("pos")).alias("key"))
+    rows = v.unionByName(spark.createDataFrame([(f"{keys.METADATA}_1",)], "key string")).where(~keys.is_metadata(F.col("key")))
+    return rows.select(keys.parse_position_key(F.col("key")).alias("k"), "key").select("k.chrom", "k.pos", "key")

@@ -67,3 +67,16 @@ def test_vcf_header_and_body(spark, tmp_path):
     assert spark.read.text(f"file://{tmp_path}/v/header").first()[0] == "##fileformat=VCFv4.2"
     body = {r[0] for r in spark.read.text(f"file://{tmp_path}/v/body").collect()}
     assert body == {"1\t9\t.\tN\tNAG\t.\t.\tx=1", "1\t4\t.\tA\tC\t.\t.\t."}
+
+
+def test_configuration_defaults_and_names():
+    from cohortspark.plans.config import AnalysisConfig, ExportConfig
+
+    c = AnalysisConfig.of({"analysis.mr.analysis.type": "nonsense", "analysis.association.cases": "A", "analysis.association.controls": "B"})
+    assert (c.maf_auto, c.maf_x, c.pop_af, c.opr, c.cadd, c.scan_cutoff) == (0.0001, 0.000125, 0.0001, 0.95, 15.0, 0.000125)
+    assert AnalysisConfig.of({"analysis.mr.analysis.type": "combined", "analysis.association.cases": "A", "analysis.association.controls": "B", "analysis.prefilter.ctrl.maf": "0.01"}).scan_cutoff == 0.01
+    assert ExportConfig.of({"storage.allele.opr.cohorts": "A, B", "storage.allele.opr.cutoff": "0.9"}) == ExportConfig(opr_cohorts=("A", "B"), opr=0.9)
+    with pytest.raises(ValueError, match="unknown option"):
+        ExportConfig.of({"storage.allele.oprs": 1})
+    with pytest.raises(TypeError):
+        AnalysisConfig.of({})
