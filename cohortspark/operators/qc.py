@@ -11,7 +11,7 @@ from cohortspark.functions import intervals as I
 from .joins import carried, in_valid_region
 
 
-def _before(positions: DataFrame, width: int) -> DataFrame:
+def preceding(positions: DataFrame, width: int) -> DataFrame:
     """Positions with the one before: within the bin, else the last of earlier bins."""
     rows = positions.select("chrom", "pos", I.bin_of(F.col("pos"), width).alias("_bin"))
     here = rows.withColumn("_here", F.lag("pos").over(W.partitionBy("chrom", "_bin").orderBy("pos")))
@@ -20,13 +20,13 @@ def _before(positions: DataFrame, width: int) -> DataFrame:
 
 def contiguity(positions: DataFrame, step: int = 1, width: int = 100_000) -> DataFrame:
     """Per chromosome: positions, first ones, and those that don't follow the last by ``step``."""
-    seen = _before(positions, width)
+    seen = preceding(positions, width)
     return seen.groupBy("chrom").agg(F.count("*").alias("n"), F.count_if(F.col("before").isNull()).alias("init"), F.count_if(F.col("before").isNotNull() & (F.col("pos") != F.col("before") + step)).alias("issues"))
 
 
 def gaps(positions: DataFrame, step: int = 1, width: int = 100_000) -> DataFrame:
     """Missing stretches between positions that follow by ``step``."""
-    seen = _before(positions, width).where(F.col("pos") > F.col("before") + step)
+    seen = preceding(positions, width).where(F.col("pos") > F.col("before") + step)
     return seen.select("chrom", (F.col("before") + step).alias("gap_start"), (F.col("pos") - step).alias("gap_end"))
 
 

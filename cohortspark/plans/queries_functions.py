@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions import genotype as G
 from cohortspark.functions import keys
 from cohortspark.functions.hwe import exact_p
-from cohortspark.operators import annotate, filters
+from cohortspark.operators import annotate, filters, qc
 from cohortspark.sources import adapters as A
 from cohortspark.sources import sinks
 
@@ -176,7 +176,8 @@ def srt_1(spark: SparkSession, d: str) -> DataFrame:
 
 @query("srt_2_position_order", "variants", "SELECT chrom, pos, coalesce(lag(pos) OVER (PARTITION BY chrom ORDER BY pos), -1) AS before FROM variants")
 def srt_2(spark: SparkSession, d: str) -> DataFrame:
-    return A.variants(spark, d).select("chrom", "pos", F.lag("pos", 1, -1).over(W.partitionBy("chrom").orderBy("pos")).alias("before"))
+    """In bins, so that no task orders a chromosome."""
+    return qc.preceding(A.variants(spark, d), 10_000).fillna(-1, ["before"])
 
 
 @query("srt_3_sample_lists", "calls", "SELECT chrom, pos, string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id) AS ids FROM calls WHERE gt = '1/1' GROUP BY 1, 2")
@@ -184,11 +185,11 @@ def srt_3(spark: SparkSession, d: str) -> DataFrame:
     return A.calls(spark, d).where("gt = '1/1'").groupBy("chrom", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_set("sample_id")), lambda x: x.cast("string")), ",").alias("ids"))
 
 
-@query("srt_4_allele_text_order", "", "SELECT DISTINCT p_size, CASE WHEN p_size < 10 AND p_size > 2 THEN '1/10/' || CAST(p_size AS VARCHAR) WHEN CAST(p_size AS VARCHAR) < '10' THEN CAST(p_size AS VARCHAR) || '/1/10' ELSE '1/10/' || CAST(p_size AS VARCHAR) END AS gt FROM part WHERE p_size > 10")
+@query("srt_4_allele_text_order", "", "SELECT p_partkey, array_to_string(list_sort(['10', CAST(p_size AS VARCHAR), CAST(p_partkey % 12 AS VARCHAR)]), '/') AS gt FROM part")
 def srt_4(spark: SparkSession, d: str) -> DataFrame:
     """Allele numbers sort as text: 10 comes before 2."""
-    alleles = F.array(F.lit("10"), F.col("p_size").cast("string"), F.lit("1"))
-    return A.table(spark, d, "part").where("p_size > 10").select("p_size").distinct().select("p_size", F.array_join(F.array_sort(alleles), "/").alias("gt"))
+    alleles = F.array(F.lit("10"), F.col("p_size").cast("string"), F.expr("cast(p_partkey % 12 as string)"))
+    return A.table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(alleles), "/").alias("gt"))
 
 
 @query("srt_5_sorted_files", "variants", "SELECT chrom, min(pos) AS first_pos, max(pos) AS last_pos, count(*) AS n FROM variants GROUP BY chrom")

@@ -100,11 +100,11 @@ def src_10(spark: SparkSession, d: str) -> DataFrame:
     return append_counts(c.where("sample_id % 2 = 0"), c.where("sample_id % 3 = 0")).groupBy("chrom").agg(F.count("*").alias("n"))
 
 
-@query("src_11_12_parquet_round_trip", "variants", "SELECT chrom, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM variants WHERE chrom IN ('1', '7') GROUP BY chrom")
+@query("src_11_12_parquet_round_trip", "variants", "SELECT chrom, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum, min(ref || alt || gene) AS least FROM variants GROUP BY chrom")
 def src_12(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "variants")
     sinks.write_variants(A.variants(spark, d), path)
-    return spark.read.schema("pos int, ref string, alt string, gene string, chrom string").parquet(path).where(F.col("chrom").isin("1", "7")).groupBy("chrom").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))
+    return spark.read.schema("pos int, ref string, alt string, gene string, chrom string").parquet(path).groupBy("chrom").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"), F.min(F.concat("ref", "alt", "gene")).alias("least"))
 
 
 @query("src_13_row_count", "variants", "SELECT count(*) AS n FROM variants")
@@ -137,10 +137,17 @@ def src_16(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_bed(spark, path)
 
 
-@query("src_17_known_blocks", "", "SELECT * FROM (VALUES ('c1', 0, 8), ('c1', 12, 15), ('c2', 4, 8), ('c3', 0, 2)) t(chrom, start, \"end\")")
+@query("src_17_known_blocks", "variants", """, l AS (SELECT v.chrom, p_size % 3 <> 0 AS known, row_number() OVER (PARTITION BY v.chrom ORDER BY pos) - 1 AS nr FROM variants v JOIN part ON p_partkey = pos),
+b AS (SELECT *, nr - row_number() OVER (PARTITION BY chrom, known ORDER BY nr) AS block FROM l)
+SELECT chrom, CAST(4 * min(nr) AS INT) AS start, CAST(4 * (max(nr) + 1) AS INT) AS "end" FROM b WHERE known GROUP BY chrom, block""")
 def src_17(spark: SparkSession, d: str) -> DataFrame:
+    """A FASTA file with a line of four bases per variant, unknown where the size is a multiple of three."""
     path = scratch(spark, "fasta")
-    spark.createDataFrame([(">c1 first\nACGT\nACNN\nNNNN\nTTT\n>c2\nNNNN\nGGNG\n>c3\nNA\n",)], "x string").coalesce(1).write.text(path)
+    size = A.table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("pos"), "p_size")
+    line = F.expr("CASE WHEN p_size % 3 = 0 THEN 'NNNN' WHEN p_size % 3 = 1 THEN ref || 'CNN' ELSE repeat(ref, 4) END")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))), lambda x: x["line"])
+    sequences = A.variants(spark, d).join(size, "pos").groupBy("chrom").agg(F.array_join(ordered, "\n").alias("lines"))
+    sequences.select(F.concat(F.lit(">"), "chrom", F.lit(" of parts\n"), "lines")).write.text(path)
     return readers.known_blocks(readers.fasta_lines(spark, path))
 
 
@@ -271,12 +278,13 @@ def join_2(spark: SparkSession, d: str) -> DataFrame:
     return joins.point_in_range(points, ranges, 32).groupBy("chrom", "pos").agg(F.count("*").alias("n"))
 
 
-@query("join_2_range_range", "", """SELECT a.o_orderkey AS left_id, b.o_orderkey AS right_id FROM (SELECT *, CAST(o_orderkey AS INT) s, CAST(o_orderkey + o_custkey % 9 AS INT) e FROM orders WHERE o_orderkey % 3 = 0) a
-JOIN (SELECT *, CAST(o_orderkey AS INT) s, CAST(o_orderkey + o_custkey % 5 AS INT) e FROM orders WHERE o_orderkey % 3 = 1) b ON a.s <= b.e AND b.s <= a.e""")
+@query("join_2_range_range", "", """SELECT a.o_orderkey AS left_id, b.o_orderkey AS right_id FROM (SELECT *, CAST(o_orderkey AS INT) s, CAST(o_orderkey + o_custkey % 9 AS INT) e FROM orders) a
+JOIN (SELECT *, CAST(o_orderkey AS INT) s, CAST(o_orderkey + o_custkey % 5 AS INT) e FROM orders) b ON a.o_orderkey // 1000 % 22 = b.o_orderkey // 1000 % 22 AND a.s <= b.e AND b.s <= a.e""")
 def join_2b(spark: SparkSession, d: str) -> DataFrame:
     o = A.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    a = o.where("o_orderkey % 3 = 0").selectExpr("'1' chrom", "cast(o_orderkey as int) start", "cast(o_orderkey + o_custkey % 9 as int) end", "o_orderkey left_id")
-    b = o.where("o_orderkey % 3 = 1").selectExpr("'1' chrom", "cast(o_orderkey as int) r_start", "cast(o_orderkey + o_custkey % 5 as int) r_end", "o_orderkey right_id")
+    chrom = "cast(o_orderkey div 1000 % 22 + 1 as string) chrom"
+    a = o.selectExpr(chrom, "cast(o_orderkey as int) start", "cast(o_orderkey + o_custkey % 9 as int) end", "o_orderkey left_id")
+    b = o.selectExpr(chrom, "cast(o_orderkey as int) r_start", "cast(o_orderkey + o_custkey % 5 as int) r_end", "o_orderkey right_id")
     return joins.range_overlap(a, b, 64).select("left_id", "right_id")
 
 
@@ -362,9 +370,11 @@ def snk_15(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(v.schema).parquet(path).where("cadd_scaled >= 2 AND chrom = '4'").select("chrom", "pos", "gene", "so_term")
 
 
-@query("snk_5_6_study_metadata", "cohorts", "SELECT count(DISTINCT cohort) AS cohorts, count(DISTINCT sample_id) AS samples FROM cohorts")
+@query("snk_5_6_study_metadata", "cohorts", "SELECT cohort, sample_id, n_name AS name FROM cohorts JOIN supplier ON sample_id = s_suppkey JOIN nation ON s_nationkey = n_nationkey")
 def snk_5(spark: SparkSession, d: str) -> DataFrame:
     """The study's metadata as one record of two maps."""
-    samples = A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("sample_id"), F.lit("s").alias("name"))
+    nation = A.table(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("name"))
+    samples = A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("sample_id"), "s_nationkey").join(nation, "s_nationkey").select("sample_id", "name")
     one = sinks.sample_collection(samples, A.cohorts(spark, d))
-    return one.select(F.size("cohorts").cast("bigint").alias("cohorts"), F.size("samples").cast("bigint").alias("samples"))
+    ids = one.select("samples", F.explode("cohorts").alias("cohort", "ids")).select("samples", "cohort", F.explode("ids").alias("sample_id"))
+    return ids.select("cohort", "sample_id", F.col("samples")[F.col("sample_id").cast("string")].alias("name"))
