@@ -3,10 +3,11 @@
 Main path: DataFrame functions only. Each source's target is its weight's share of all
 words, stopped at ``MOST_EPOCHS`` times its size, the excess shared again by weight.
 Within a source documents stand in the order of a hash key. Ranges of the key (leading
-hexadecimal digits, as many as the row count needs) are summed first, a prefix sum over
-the ranges finds the one that holds the cut, and a prefix sum over that range's keys
-finds the cut itself; whole epochs come before. So every row decides by comparing its
-key with its source's cut, no text is moved, and no task holds a source.
+hexadecimal digits, as many as the row count needs) are summed first; the part that
+holds the cut is then narrowed by two digits a step, first over the ranges' sums and then
+over the keys of one range, each step a prefix sum over at most 256 parts of a source;
+whole epochs come before. So every row decides by comparing its key with its source's
+cut, no text is moved, and no task holds a source.
 
 Null text has no words; a null source is a source, last in order; rows alike in id and
 text share a key and are taken alike. A source without words takes nothing. An empty
@@ -21,13 +22,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, discard, materialise, small
+from .common import WORD, discard, discard_since, materialise, small, written
 
 #: Weights dealt to the sources in order, again and again, and the most epochs.
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Rows that a range of keys holds on average, at most.
 RANGE_ROWS = 50_000
+#: Hexadecimal digits of a key, and by how many a step narrows the part that holds the cut.
+KEY_DIGITS = 32
+DIGITS = 2
 
 
 def words(text: Column) -> Column:
@@ -65,27 +69,38 @@ def targets(sizes: DataFrame) -> DataFrame:
     return t.select("source", "_m_source", "source_size", "target", "_m_epochs", (F.floor("target") - F.col("_m_epochs") * F.col("source_size")).cast("long").alias("_m_rest"))
 
 
+def _narrowed(rows: DataFrame, hit: DataFrame, above: int, below: int) -> DataFrame:
+    """Of each source the part of ``below`` digits of the key in which its rest ends, within ``hit``'s part of ``above`` digits.
+
+    ``_m_rest`` words are still to be taken in that part, which has ``_m_tied``.
+    """
+    inside = rows.withColumn("_m_cut", F.substring("_m_key", 1, above)).join(small(hit.select("_m_source", "_m_cut", "_m_rest")), ["_m_source", "_m_cut"])
+    parts = inside.groupBy("_m_source", F.substring("_m_key", 1, below).alias("_m_part")).agg(F.sum("_m_n").alias("_m_tied"), F.first("_m_rest").alias("_m_rest"))
+    run = F.sum("_m_tied").over(W.partitionBy("_m_source").orderBy("_m_part").rowsBetween(W.unboundedPreceding, 0))
+    before = parts.withColumn("_m_run", run - F.col("_m_tied")).where((F.col("_m_rest") >= F.col("_m_run")) & (F.col("_m_rest") < F.col("_m_run") + F.col("_m_tied")))
+    return materialise(before.select("_m_source", F.col("_m_part").alias("_m_cut"), (F.col("_m_rest") - F.col("_m_run")).alias("_m_rest"), "_m_tied"), "mix-cut")
+
+
 def cuts(thin: DataFrame) -> DataFrame:
     """One row per source: target, whole epochs, and the key where the last one is cut.
 
     ``_m_rest`` words are still to be taken at the cut key, whose rows have ``_m_tied`` words.
     """
+    since = written()
     digits = max(1, math.ceil(math.log(max(1, thin.count()) / RANGE_ROWS, 16)))
-    ranged = thin.withColumn("_m_range", F.substring("_m_key", 1, digits))
-    sums = materialise(ranged.groupBy("_m_source", "_m_range").agg(F.sum("size").alias("_m_n"), F.first("source", True).alias("source")), "mix-ranges")
+    ranges = thin.groupBy("_m_source", F.substring("_m_key", 1, digits).alias("_m_key")).agg(F.sum("size").alias("_m_n"), F.first("source", True).alias("source"))
+    sums = materialise(ranges, "mix-ranges")
     goal = materialise(targets(sums.groupBy("_m_source").agg(F.first("source", True).alias("source"), F.sum("_m_n").alias("source_size"))), "mix-targets")
-
-    def cut(t: DataFrame, by: str) -> DataFrame:
-        """Of each source, the row in which its rest ends, and what remains of it there."""
-        run = F.sum("_m_n").over(W.partitionBy("_m_source").orderBy(by).rowsBetween(W.unboundedPreceding, 0))
-        t = t.withColumn("_m_run", run).where((F.col("_m_rest") < F.col("_m_run")) & (F.col("_m_rest") >= F.col("_m_run") - F.col("_m_n")))
-        return t.withColumn("_m_rest", F.col("_m_rest") - F.col("_m_run") + F.col("_m_n")).drop("_m_run")
-
-    in_range = cut(sums.drop("source").join(small(goal.select("_m_source", "_m_rest")), "_m_source"), "_m_range").drop("_m_n")
-    last = ranged.join(small(in_range), ["_m_source", "_m_range"]).groupBy("_m_source", "_m_key").agg(F.sum("size").alias("_m_n"), F.first("_m_rest").alias("_m_rest"))
-    at = cut(last, "_m_key").select("_m_source", F.col("_m_key").alias("_m_cut"), "_m_rest", F.col("_m_n").alias("_m_tied"))
-    found = materialise(goal.drop("_m_rest").join(at, "_m_source", "left"), "mix-cuts")
-    discard(sums, goal)
+    hit = goal.select("_m_source", F.lit("").alias("_m_cut"), "_m_rest")
+    for above in range(0, digits, DIGITS):
+        hit = _narrowed(sums, hit, above, min(above + DIGITS, digits))
+    ranged = thin.select("_m_source", "_m_key", "size", F.substring("_m_key", 1, digits).alias("_m_cut"))
+    last = ranged.join(small(hit.select("_m_source", "_m_cut")), ["_m_source", "_m_cut"]).groupBy("_m_source", "_m_key").agg(F.sum("size").alias("_m_n"))
+    keys = materialise(last, "mix-keys")
+    for above, below in ((digits, digits + DIGITS), (digits + DIGITS, KEY_DIGITS)):
+        hit = _narrowed(keys, hit, above, below)
+    found = materialise(goal.drop("_m_rest").join(hit, "_m_source", "left"), "mix-cuts")
+    discard_since(since, found)
     return found
 
 

@@ -96,6 +96,13 @@ def test_mix_meets_targets(spark):
     assert rows(mixing.mix(docs)) == rows(mixing.mix(docs))
 
 
+def test_cut_is_the_same_by_ranges_of_any_size(spark, duck, monkeypatch):
+    """Many digits of the key make many ranges; the cut is narrowed by steps to the same key."""
+    for most in (5, 0.01):
+        monkeypatch.setattr(mixing, "RANGE_ROWS", most)
+        assert_same(queries.op5_mix_sources(spark, TINY), duck, mixing.ORACLE)
+
+
 def test_mix_edge_values(spark):
     """Null, blank and very long texts, null ids and sources, repeated rows and clashing names: whole words of each target."""
     rows_ = [(1, None, "en", "a"), (2, " \n", "en", "a"), (3, "w " * 50_000, "en", "a"), (None, "a b c d", None, None), (4, "a b", "en", "b"), (4, "a b", "en", "b"), (5, "", "en", "empty")]
