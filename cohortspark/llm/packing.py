@@ -255,5 +255,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER)
     before = F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1))
     base = by_task.select("task", "length", F.coalesce(before, F.lit(0)).alias("base"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    ranked = pieces.join(base, ["task", "length"]).select(*names, (F.col("base") + F.col("rank_in_task")).alias("rank"))
+    # a row per task and length grows with the input, so it is joined by shuffle at any size
+    ranked = pieces.join(base.hint("shuffle_hash"), ["task", "length"]).select(*names, (F.col("base") + F.col("rank_in_task")).alias("rank"))
     return ranked.mapInArrow(_placed(seg, names), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
