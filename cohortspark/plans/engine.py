@@ -45,13 +45,17 @@ class Engine:
     def path(self, name: str) -> str:
         return f"{self.root}/{FOLDERS.get(name, name)}"
 
+    def _folder(self, path: str) -> tuple:
+        """The file system that holds ``path``, and the path there."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
     def _table(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema(name)).parquet(self.path(name))
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return self.spark.createDataFrame([], schema(name))
-            raise
+        """A stored table; one that no load has written yet is empty."""
+        files, at = self._folder(self.path(name))
+        if not files.exists(at):
+            return self.spark.createDataFrame([], schema(name))
+        return self.spark.read.schema(schema(name)).parquet(self.path(name))
 
     def _done(self) -> list[str]:
         return [r.batch_id for r in self.batches().where("status = 'DONE'").select("batch_id").collect()]  # a row per load
@@ -126,9 +130,8 @@ class Engine:
 
     def drop(self) -> None:
         """Deletes the study's tables."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        at = jvm.org.apache.hadoop.fs.Path(self.root)
-        at.getFileSystem(conf).delete(at, True)
+        files, at = self._folder(self.root)
+        files.delete(at, True)
 
     def query(self, samples: Sequence[int] = ()) -> VariantQuery:
         """A query over the study's variants, with sample lists (of ``samples`` only, if given).
