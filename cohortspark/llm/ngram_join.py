@@ -24,7 +24,9 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    largest part are dealt into chunks, and a chunk is searched against those members of
    the group that share a prefix shingle with it, block by block: a group that hangs
    together by a chain of shared shingles costs what its links of the chain cost. A chunk
-   whose shingles' lists add up to the group or more is searched against the group.
+   whose shingles' lists add up to the group or more is searched against the group. The
+   blocks and chunks of this step grow with the group, up to ``TILE_TOKENS`` shingles, so
+   a document is sent to some ``TILES`` searches however large its group.
 
 Null and blank texts have no set and no link. Repeated rows and equal sets form one
 component. A component's id is its smallest doc_id; null ids are passed over. An empty
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -49,6 +52,8 @@ from .textbytes import shingle_sets, slices
 
 WIDTH = 5
 BLOCK = 64
+#: Blocks that a group has in the search of the rest, and shingles of such a block, which makes them more.
+TILES, TILE_TOKENS = 16, 1 << 19
 #: Bits of the survivors' filter.
 BLOOM_BITS = 26
 FLUSH = 1_000_000
@@ -324,9 +329,10 @@ def search(sets: list[np.ndarray], sizes: list[int], parts: list[int]) -> list[t
 
     ``sets``: the shingles that may be shared; ``sizes``: of the whole sets; ``parts``:
     known parts, whose members need no link. T-occurrence search over the sets in order
-    of size, see the module's text.
+    of size, the largest part first as nothing in it needs a search; see the module's text.
     """
-    order = sorted(range(len(sets)), key=lambda i: sizes[i])
+    most = max(Counter(parts).items(), key=lambda x: x[1])[0]
+    order = sorted(range(len(sets)), key=lambda i: (parts[i] != most, sizes[i]))
     parent = list(range(len(sets)))
 
     def root(i: int) -> int:
@@ -447,8 +453,9 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     salt = lambda k: 0.5 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1024)) / 2048
     heavy = lambda by: F.max(F.struct(by.alias("by"), "node"))["node"]
     pivots = F.array_distinct(F.array(heavy(F.col("weight")), *(heavy(F.col("weight") * salt(k)) for k in range(2)), heavy(salt(2))))
-    size = groups.join(nodes.select("node", "weight"), "node").groupBy("label").agg(F.count("*").alias("m"), pivots.alias("pivots"))
-    size = materialise(size.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "join-sizes")
+    size = groups.join(nodes.select("node", "n", "weight"), "node").groupBy("label").agg(F.count("*").alias("m"), F.avg("n").alias("tokens"), pivots.alias("pivots"))
+    width = F.greatest(F.lit(BLOCK), F.least(F.ceil(F.col("m") / TILES), F.ceil(TILE_TOKENS / F.col("tokens")))).cast("int")
+    size = materialise(size.withColumns({"blocks": F.ceil(F.col("m") / BLOCK).cast("int"), "wide": width}), "join-sizes")
     member = materialise(groups.join(size.select("label", "blocks"), "label"), "join-members")
     member = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pivot = size.where("blocks > 1").select("label", F.explode("pivots").alias("node"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("block"))
@@ -462,13 +469,14 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     large = materialise(large.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "join-large")
     counted = large.groupBy("label", "part").agg(F.count("*").alias("c"))
     main = counted.groupBy("label").agg(F.max_by("part", F.struct("c", "part")).alias("main"), (F.sum("c") - F.max("c")).alias("outside")).where("outside > 0")
-    main = materialise(main.withColumn("chunks", F.ceil(F.col("outside") / BLOCK).cast("int")), "join-rest")
+    main = main.join(size.select("label", "m", "wide"), "label")
+    main = materialise(main.withColumns({"chunks": F.ceil(F.col("outside") / F.col("wide")).cast("int"), "tiles": F.ceil(F.col("m") / F.col("wide")).cast("int")}).drop("m"), "join-rest")
     if main.isEmpty():
         return found
     left = large.join(main, "label").join(counted, ["label", "part"])
     # a part's documents are alike, so they share a chunk; a large part is dealt over several
-    some = F.pmod(F.xxhash64("part"), F.col("chunks")) * F.lit(1 << 20) + F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("c") / BLOCK))
-    left = materialise(left.select("label", "node", "part", "block", F.when(F.col("part") != F.col("main"), some).alias("chunk")), "join-left")
+    some = F.pmod(F.xxhash64("part"), F.col("chunks")) * F.lit(1 << 20) + F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("c") / F.col("wide")))
+    left = materialise(left.select("label", "node", "part", F.pmod("block", "tiles").alias("block"), F.when(F.col("part") != F.col("main"), some).alias("chunk")), "join-left")
     token = nodes.select("node", "prefix").join(left, "node", "left_semi").mapInArrow(_prefix_tokens, "node long, token long")
     posted = materialise(token.join(left, "node"), "join-posted")
     asked = materialise(posted.where("chunk IS NOT NULL").select("label", "token", F.col("chunk").alias("asks")).distinct(), "join-asked")
@@ -477,7 +485,7 @@ def _links(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     cost = materialise(cost.join(size.select("label", "m"), "label").select("label", "asks", (F.col("cost") >= F.col("m")).alias("whole")), "join-cost")
     narrow = asked.join(cost.where("NOT whole"), ["label", "asks"])
     near = posted.join(narrow, ["label", "token"]).select("label", "asks", "block", "node", "part").distinct()
-    wide = cost.where("whole").groupBy("label").agg(F.collect_list("asks").alias("all"))  # a sixty-fourth of the group, at most
+    wide = cost.where("whole").groupBy("label").agg(F.collect_list("asks").alias("all"))  # a chunk for every ``wide`` of the group, at most
     met = materialise(near.unionByName(left.join(wide, "label").select("label", F.explode("all").alias("asks"), "block", "node", "part")), "join-met")
     ask = left.where("chunk IS NOT NULL").select("label", F.col("chunk").alias("asks"), "node", "part")
     asking = ask.join(met.select("label", "asks", "block").distinct(), ["label", "asks"])

@@ -83,3 +83,21 @@ def test_many_small_groups(spark, seed):
                 x[rnd.randrange(len(x))] = f"e{rnd.randrange(10**6)}"
             made.append(x)
     _same(spark, [(i, " ".join(x)) for i, x in enumerate(made)], 3)
+
+
+def test_the_rest_of_a_large_group_is_sent_few_times(spark, monkeypatch):
+    """Edited copies of one text that stay apart: each document goes to a fixed number of searches, however many copies there are."""
+    rnd = random.Random(5)
+    base = _words(rnd, 90)
+    made = []
+    for i in range(400):
+        x = list(base)
+        for k in rnd.sample(range(90), 1 if i % 2 else 5):
+            x[k] = f"e{rnd.randrange(3)}"
+        made.append(x)
+    docs = [(i, " ".join(x)) for i, x in enumerate(made)]
+    sent, blocks = [], ngram_join._blocks
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "_blocks", lambda rows: sent.append(rows.count()) or blocks(rows))
+    _same(spark, docs)
+    assert len(sent) == 2 and 0 < sent[1] <= 2 * 16 * 400
