@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from cohortspark.sources import readers
 
+TINY = "/root/testdata/sf0.001"
+
 
 def test_a_sequence_is_not_read_again_for_each_line(spark, tmp_path):
     """The name is taken off the sequence before its lines are dealt out."""
@@ -12,3 +14,23 @@ def test_a_sequence_is_not_read_again_for_each_line(spark, tmp_path):
     assert sorted((r.chrom, r.line, r.pos) for r in rows.collect())[-2:] == [("7", "ACGT", 0), ("7", "NNNN", 4)]
     above = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
     assert "value" not in above
+
+
+def test_a_record_takes_no_column_of_every_sample(spark, tmp_path):
+    """With forty samples a file id, gVCF lines stay narrow and all records come back."""
+    from pyspark.sql import functions as F
+
+    from cohortspark.plans import queries_merge as Q
+    from cohortspark.sources import adapters as A
+    from cohortspark.sources import vcf
+
+    tables = f"file://{tmp_path}/tables"
+    line = A.table(spark, TINY, "lineitem")
+    line.withColumn("l_suppkey", F.expr("l_orderkey % 400")).write.parquet(f"{tables}/lineitem.parquet")
+    spark.range(400).select(F.col("id").alias("s_suppkey")).write.parquet(f"{tables}/supplier.parquet")
+    samples = Q._vcf_text(spark, tables, f"file://{tmp_path}/vcf")
+    text = spark.read.text(f"file://{tmp_path}/vcf").where("value NOT LIKE '##%'")
+    assert text.agg(F.max(F.size(F.split("value", "\t")))).first()[0] <= 9 + 16
+    cols = ["sample_id", "chrom", "start", "end", "ref", "alt", "type", "gt", "dp", "filter"]
+    got, want = vcf.read_vcf(spark, f"file://{tmp_path}/vcf", samples).select(cols), A.records(spark, tables).select(cols)
+    assert want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
