@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from cohortspark.functions.genotype import decimal
 
 
+#: Positions that are written by one task.
+STRETCH = 1 << 16
+
+
 def write_regions(regions: DataFrame, path: str, mode: str = "append") -> None:
     """Region rows by chromosome and bin: a load appends files, a reader prunes both."""
     regions.repartition("chrom", "bin").write.mode(mode).partitionBy("chrom").parquet(path)
@@ -20,7 +24,9 @@ def write_variants(rows: DataFrame, path: str, mode: str = "overwrite", pos: str
 
     With dynamic overwrite a recomputed chromosome replaces its own files only.
     """
-    sorted_ = rows.repartitionByRange("chrom", pos).sortWithinPartitions("chrom", pos)
+    # ranges are found by a run of all that makes the rows, so positions are dealt by stretch instead
+    dealt = rows.repartition("chrom", F.floor(F.col(pos) / STRETCH)) if pos == "pos" else rows.repartitionByRange("chrom", pos)
+    sorted_ = dealt.sortWithinPartitions("chrom", pos)
     sorted_.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("chrom").parquet(path)
 
 

@@ -34,3 +34,19 @@ def test_a_record_takes_no_column_of_every_sample(spark, tmp_path):
     cols = ["sample_id", "chrom", "start", "end", "ref", "alt", "type", "gt", "dp", "filter"]
     got, want = vcf.read_vcf(spark, f"file://{tmp_path}/vcf", samples).select(cols), A.records(spark, tables).select(cols)
     assert want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_written_variants_are_made_once(spark, tmp_path):
+    """No run of all that makes the rows finds the ranges first."""
+    from cohortspark.sources import sinks
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(200_000, numPartitions=2).selectExpr("cast(id % 3 as string) chrom", "cast(id as int) pos")
+    sinks.write_variants(rows.mapInArrow(count, rows.schema), f"file://{tmp_path}/v")
+    assert made.value == 200_000 == spark.read.parquet(f"file://{tmp_path}/v").count()
