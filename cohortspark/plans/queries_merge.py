@@ -72,6 +72,13 @@ def _merged(spark: SparkSession, d: str) -> DataFrame:
     return M.merge(spark.read.schema(rows.schema).parquet(path), width=8, keep_bin=True)
 
 
+def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows written once, for queries that read them more than once: a plan's parts would each make them anew."""
+    path = scratch(spark, "stored")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query("cmb_1_variant_map", "records", REGIONS + " SELECT chrom, pos, ref, alt, CAST(a AS INT) AS a, count(*) AS n FROM own GROUP BY ALL")
 def cmb_1(spark: SparkSession, d: str) -> DataFrame:
     return M.variant_samples(_regions(spark, d)).groupBy(*M.VARIANT, "a").agg(F.count("*").alias("n"))
@@ -249,7 +256,7 @@ def snk_2(spark: SparkSession, d: str) -> DataFrame:
 def snk_4(spark: SparkSession, d: str) -> DataFrame:
     """Export records with the cohort statistics as a map, written and read."""
     path = scratch(spark, "export")
-    merged = _merged(spark, d)
+    merged = _stored(spark, _merged(spark, d))
     classes = GT.genotype_classes(GT.sample_genotypes(merged), A.cohorts(spark, d).where("cohort = 'ALL'").select("sample_id"))
     none = merged.select(*M.VARIANT).distinct().withColumn("terms", F.array().cast("array<string>"))
     rows = sinks.export_rows(classes, stats.cohort_statistics(merged, A.cohorts(spark, d)), none)
