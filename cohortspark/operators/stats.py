@@ -38,7 +38,8 @@ def cohort_statistics(merged: DataFrame, cohorts: DataFrame) -> DataFrame:
 
     Samples without a row are hom-ref and diploid, so they are counted by subtraction. A
     no-call counts only where the sample has no alternate; insertions beside a variant
-    that isn't one don't count. Cohorts are joined to their members, never crossed.
+    that isn't one don't count. Cohorts are joined to their members, never crossed: rows
+    are counted by the set of cohorts that a sample is in, and the sums go to each of them.
     """
     sizes = cohorts.groupBy("cohort").agg(F.count("*").alias("num_samples"))
     secs = [F.coalesce(F.col(f"sec_{x}"), F.lit(0)) for x in BASES] + [F.coalesce("sec_del", F.lit(0)), F.when(F.col("type") == "INSERTION", F.coalesce("sec_ins", F.lit(0))).otherwise(0)]
@@ -48,9 +49,13 @@ def cohort_statistics(merged: DataFrame, cohorts: DataFrame) -> DataFrame:
     no_call = F.coalesce(F.col("reference") == -1, F.lit(False)) & (F.col("_alt") == 0) & (F.col("_others") == 0)
     mentioned = ref1 | no_call | (F.col("_alt") > 0) | (F.col("_others") > 0)
     n = lambda when: F.count_if(when).cast("int")
-    g = rows.join(small(cohorts), "sample_id").groupBy(*by_variant(merged), "type", "cohort").agg(
-        F.sum("_alt").cast("int").alias("alt_ac"), F.sum("_others").cast("int").alias("other_ac"), n(ref1).alias("ref1"), n(no_call).alias("no_call"), n(mentioned).alias("mentioned"), n(F.coalesce("not_pass", F.lit(False))).alias("not_pass")
+    total = lambda c: F.sum(c).cast("int").alias(c)
+    members = cohorts.groupBy("sample_id").agg(F.sort_array(F.collect_list("cohort")).alias("_cohorts"))
+    sets = members.groupBy("_cohorts").agg(F.min("sample_id").alias("_set"))
+    by_set = rows.join(small(members.join(sets, "_cohorts").select("sample_id", "_set")), "sample_id").groupBy(*by_variant(merged), "type", "_set").agg(
+        F.sum("_alt").alias("alt_ac"), F.sum("_others").alias("other_ac"), n(ref1).alias("ref1"), n(no_call).alias("no_call"), n(mentioned).alias("mentioned"), n(F.coalesce("not_pass", F.lit(False))).alias("not_pass")
     )
+    g = by_set.join(small(sets.select("_set", F.explode("_cohorts").alias("cohort"))), "_set").groupBy(*by_variant(merged), "type", "cohort").agg(*map(total, ("alt_ac", "other_ac", "ref1", "no_call", "mentioned", "not_pass")))
     g = g.join(small(sizes), "cohort").withColumn("num_samples", F.col("num_samples").cast("int"))
     g = g.withColumn("ref_ac", 2 * (F.col("num_samples") - F.col("mentioned")) + F.col("ref1"))
     g = g.withColumn("total_ac", F.col("ref_ac") + F.col("alt_ac") + F.col("other_ac"))

@@ -50,3 +50,49 @@ def test_written_variants_are_made_once(spark, tmp_path):
     rows = spark.range(200_000, numPartitions=2).selectExpr("cast(id % 3 as string) chrom", "cast(id as int) pos")
     sinks.write_variants(rows.mapInArrow(count, rows.schema), f"file://{tmp_path}/v")
     assert made.value == 200_000 == spark.read.parquet(f"file://{tmp_path}/v").count()
+
+
+def test_genotypes_are_made_once_for_their_classes(spark):
+    """One aggregate finds all lists, those of variants without a member of the cohort too."""
+    from cohortspark.operators import genotypes as GT
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [("1", 5, "A", "G", ["A", "G"], s, gt) for s, gt in ((1, "0/1"), (2, "1"), (3, "1"), (4, "0/0"), (9, "."))] + [("1", 6, "A", "G", ["A", "G"], 9, "1/1")]
+    g = spark.createDataFrame(rows, "chrom string, pos int, ref string, alt string, alleles array<string>, sample_id int, gt string")
+    cohort = spark.createDataFrame([(s,) for s in range(1, 8)], "sample_id int")
+    got = {r.pos: (r.no_call, r.het, r.hom_alt, r.other, r.hom_ref_count) for r in GT.genotype_classes(g.mapInArrow(count, g.schema), cohort).collect()}
+    assert got == {5: ([], [1], [], {"1": [2, 3]}, 4), 6: (None, None, None, None, 7)}
+    assert made.value == len(rows)
+
+
+def test_the_merge_meets_in_as_many_partitions_as_are_asked(spark):
+    """Large tables don't meet in the session's few partitions; the variants' groups stay in them."""
+    from cohortspark.operators import genotypes as GT
+    from cohortspark.operators import merge as M
+    from cohortspark.operators import regions as R
+    from cohortspark.sources import adapters as A
+
+    rows = R.call_regions(A.records(spark, TINY)).localCheckpoint()
+    few, many = M.merge(rows, width=8, keep_bin=True), M.merge(rows, width=8, keep_bin=True, parts=23)
+    assert many.rdd.getNumPartitions() == 23
+    assert many.exceptAll(few).isEmpty() and many.count() == few.count()
+    plan = GT.sample_genotypes(many)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.find("Join")]
+
+
+def test_sets_of_cohorts_are_counted_like_their_members(spark):
+    """Rows are joined to the sets of cohorts that their samples are in, so no row is written out for each cohort."""
+    from cohortspark.operators import stats
+
+    rows = [("1", 5, "A", "G", "SNV", s, 1, 1, *[None] * 6, s == 3) for s in range(1, 6)]
+    merged = spark.createDataFrame(rows, "chrom string, pos int, ref string, alt string, type string, sample_id int, a int, reference int, sec_A int, sec_C int, sec_T int, sec_G int, sec_del int, sec_ins int, not_pass boolean")
+    cohorts = spark.createDataFrame([("all", s) for s in range(1, 9)] + [("low", s) for s in (1, 2, 3)] + [("twice", s) for s in (3, 3)] + [("none", 8)], "cohort string, sample_id int")
+    got = stats.cohort_statistics(merged, cohorts)
+    assert {r.cohort: (r.alt_ac, r.ref_ac, r.not_pass, r.num_samples) for r in got.collect()} == {"all": (5, 11, 1, 8), "low": (3, 3, 1, 3), "twice": (2, 2, 2, 2)}
+    assert "_set" in got._jdf.queryExecution().optimizedPlan().toString()
