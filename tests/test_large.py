@@ -96,3 +96,25 @@ def test_sets_of_cohorts_are_counted_like_their_members(spark):
     got = stats.cohort_statistics(merged, cohorts)
     assert {r.cohort: (r.alt_ac, r.ref_ac, r.not_pass, r.num_samples) for r in got.collect()} == {"all": (5, 11, 1, 8), "low": (3, 3, 1, 3), "twice": (2, 2, 2, 2)}
     assert "_set" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wide_lines_are_written_small(spark, tmp_path):
+    """Lines of many samples: whole, in order, made after the rows are ordered, and as small on disk as what they say."""
+    import glob
+    import os
+
+    from cohortspark.sources import vcf
+
+    n, at = 5000, {7: "0/1", 2500: "1/1", 4999: "."}
+    rows = [("1", p, "A", "G", ["A", "G"], s, gt) for p in range(100, 0, -1) for s, gt in at.items()]
+    g = spark.createDataFrame(rows, "chrom string, pos int, ref string, alt string, alleles array<string>, sample_id int, gt string")
+    samples = spark.range(n).selectExpr("cast(id as int) sample_id", "concat('s', id) name")
+    entries = vcf.sample_entries(g, samples)
+    assert sorted(map(tuple, vcf.sample_lines(entries, samples).collect())) == sorted(map(tuple, vcf.sample_lines(g, samples).collect()))
+    vcf.write_sample_vcf(spark, entries, samples, f"file://{tmp_path}/out", compression="lz4")
+    body = [r[0] for r in spark.read.text(f"file://{tmp_path}/out/body").collect()]
+    assert sorted(body) == sorted("\t".join(["1", str(p), ".", "A", "G", ".", ".", ".", "GT", *(at.get(s, "0/0") for s in range(n))]) for p in range(1, 101))
+    files = sorted(glob.glob(f"{tmp_path}/out/body/part-*"))
+    assert sum(map(os.path.getsize, files)) < 0.05 * sum(map(len, body))
+    firsts = [[int(r[0].split("\t")[1]) for r in spark.read.text(f"file://{f}").collect()] for f in files]
+    assert sum(firsts, []) == list(range(1, 101))
