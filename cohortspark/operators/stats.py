@@ -33,29 +33,47 @@ def rates(n: Column, no_call: Column, not_pass: Column) -> dict[str, Column]:
     return {"call_rate": call, "pass_rate": ok, "opr": (call * ok).cast("float")}
 
 
-def cohort_statistics(merged: DataFrame, cohorts: DataFrame) -> DataFrame:
-    """Per variant and cohort: counts, frequencies and rates over merged long rows.
+#: What is counted of a merged row and added up per variant.
+COUNTS = ("alt_ac", "other_ac", "ref1", "no_call", "mentioned", "not_pass")
+
 
-    Samples without a row are hom-ref and diploid, so they are counted by subtraction. A
-    no-call counts only where the sample has no alternate; insertions beside a variant
-    that isn't one don't count. Cohorts are joined to their members, never crossed: rows
-    are counted by the set of cohorts that a sample is in, and the sums go to each of them.
+def counted() -> list[Column]:
+    """Sums of ``COUNTS`` over merged rows.
+
+    A no-call counts only where the sample has no alternate; insertions beside a variant
+    that isn't one don't count.
     """
-    sizes = cohorts.groupBy("cohort").agg(F.count("*").alias("num_samples"))
     secs = [F.coalesce(F.col(f"sec_{x}"), F.lit(0)) for x in BASES] + [F.coalesce("sec_del", F.lit(0)), F.when(F.col("type") == "INSERTION", F.coalesce("sec_ins", F.lit(0))).otherwise(0)]
     others = sum(secs, F.lit(0))
-    rows = merged.withColumns({"_others": others, "_alt": F.col("a")})
     ref1 = F.coalesce(F.col("reference") == 1, F.lit(False))
-    no_call = F.coalesce(F.col("reference") == -1, F.lit(False)) & (F.col("_alt") == 0) & (F.col("_others") == 0)
-    mentioned = ref1 | no_call | (F.col("_alt") > 0) | (F.col("_others") > 0)
-    n = lambda when: F.count_if(when).cast("int")
-    total = lambda c: F.sum(c).cast("int").alias(c)
+    no_call = F.coalesce(F.col("reference") == -1, F.lit(False)) & (F.col("a") == 0) & (others == 0)
+    mentioned = ref1 | no_call | (F.col("a") > 0) | (others > 0)
+    return [F.sum("a").alias("alt_ac"), F.sum(others).alias("other_ac"), F.count_if(ref1).alias("ref1"), F.count_if(no_call).alias("no_call"), F.count_if(mentioned).alias("mentioned"), F.count_if(F.coalesce("not_pass", F.lit(False))).alias("not_pass")]
+
+
+def cohort_sets(cohorts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The set of cohorts that each sample is in (sample_id, _set), and the cohorts of each set (_set, cohort)."""
     members = cohorts.groupBy("sample_id").agg(F.sort_array(F.collect_list("cohort")).alias("_cohorts"))
     sets = members.groupBy("_cohorts").agg(F.min("sample_id").alias("_set"))
-    by_set = rows.join(small(members.join(sets, "_cohorts").select("sample_id", "_set")), "sample_id").groupBy(*by_variant(merged), "type", "_set").agg(
-        F.sum("_alt").alias("alt_ac"), F.sum("_others").alias("other_ac"), n(ref1).alias("ref1"), n(no_call).alias("no_call"), n(mentioned).alias("mentioned"), n(F.coalesce("not_pass", F.lit(False))).alias("not_pass")
-    )
-    g = by_set.join(small(sets.select("_set", F.explode("_cohorts").alias("cohort"))), "_set").groupBy(*by_variant(merged), "type", "cohort").agg(*map(total, ("alt_ac", "other_ac", "ref1", "no_call", "mentioned", "not_pass")))
+    return members.join(sets, "_cohorts").select("sample_id", "_set"), sets.select("_set", F.explode("_cohorts").alias("cohort"))
+
+
+def cohort_statistics(merged: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """Per variant and cohort: counts, frequencies and rates over merged long rows.
+
+    Samples without a row are hom-ref and diploid, so they are counted by subtraction.
+    Cohorts are joined to their members, never crossed: rows are counted by the set of
+    cohorts that a sample is in, and the sums go to each of them.
+    """
+    members, _ = cohort_sets(cohorts)
+    return set_statistics(merged.join(small(members), "sample_id").groupBy(*by_variant(merged), "type", "_set").agg(*counted()), cohorts)
+
+
+def set_statistics(by_set: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """``cohort_statistics`` of rows that are counted (``COUNTS``) by the set of cohorts."""
+    sizes = cohorts.groupBy("cohort").agg(F.count("*").alias("num_samples"))
+    _, sets = cohort_sets(cohorts)
+    g = by_set.join(small(sets), "_set").groupBy(*by_variant(by_set), "type", "cohort").agg(*(F.sum(c).cast("int").alias(c) for c in COUNTS))
     g = g.join(small(sizes), "cohort").withColumn("num_samples", F.col("num_samples").cast("int"))
     g = g.withColumn("ref_ac", 2 * (F.col("num_samples") - F.col("mentioned")) + F.col("ref1"))
     g = g.withColumn("total_ac", F.col("ref_ac") + F.col("alt_ac") + F.col("other_ac"))

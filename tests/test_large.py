@@ -98,6 +98,36 @@ def test_sets_of_cohorts_are_counted_like_their_members(spark):
     assert "_set" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_summaries_say_what_classes_and_statistics_say(spark):
+    """One pass over the genotypes gives the export's lists and counts, samples of no cohort included."""
+    from cohortspark.operators import genotypes as GT
+    from cohortspark.operators import merge as M
+    from cohortspark.operators import regions as R
+    from cohortspark.operators import stats, summaries
+    from cohortspark.sources import adapters as A
+
+    merged = M.merge(R.call_regions(A.records(spark, TINY)), width=8, keep_bin=True)
+    merged = spark.createDataFrame(merged.collect(), merged.schema)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    g = GT.sample_genotypes(merged)
+    cohorts = A.cohorts(spark, TINY).where("sample_id NOT IN (3, 7)")
+    some = cohorts.where("sample_id < 3").select("sample_id")
+    rows = summaries.variant_summaries(g.mapInArrow(count, g.schema), cohorts, some).collect()
+    assert made.value == merged.count()
+    told = spark.createDataFrame(rows, summaries.variant_summaries(g, cohorts, some).schema)
+    text = lambda df: sorted(str(sorted(r.asDict(True).items())) for r in df.collect())
+    classes = GT.genotype_classes(g, some)
+    assert text(summaries.classes(told, some)) == text(classes)
+    assert classes.where("size(other) > 1").count() > 0
+    assert text(summaries.statistics(told, cohorts)) == text(stats.cohort_statistics(merged, cohorts).drop("_bin"))
+
+
 def test_wide_lines_are_written_small(spark, tmp_path):
     """Lines of many samples: whole, in order, made after the rows are ordered, and as small on disk as what they say."""
     import glob
